@@ -1,0 +1,98 @@
+"""Publishing metrics from the silver tables of a base folder."""
+
+from __future__ import annotations
+
+import logging
+from collections.abc import Iterable
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+
+from billweave.functions.calendar import AsOf
+from billweave.operators.rollups import customer_totals, hourly_totals
+from billweave.plans.registry import BILLS, CUSTOMER, HOURLY, ITEMS, METRICS, SEGMENTS, Metric
+from billweave.schemas import SILVER
+from billweave.sinks.parquet import publish
+from billweave.sources.parquet import read_collection, read_partitioned
+from billweave.staging import staged
+
+log = logging.getLogger(__name__)
+
+_ROLLUPS = {HOURLY: hourly_totals, CUSTOMER: customer_totals}
+
+
+@dataclass(frozen=True)
+class Outcome:
+    name: str
+    path: str
+    error: Exception | None = None
+
+
+def silver_bills_table(spark: SparkSession, base: str) -> DataFrame:
+    return read_partitioned(
+        spark, f"{base}/silver/all_bills/data", {"storeId": "string"}, SILVER["all_bills"]
+    )
+
+
+def silver_items_table(spark: SparkSession, base: str) -> DataFrame:
+    return read_collection(spark, f"{base}/silver/all_items/data", SILVER["all_items"])
+
+
+def gold_path(base: str, name: str) -> str:
+    return f"{base}/gold/{name}"
+
+
+def gold_table(spark: SparkSession, base: str, name: str) -> DataFrame:
+    return read_partitioned(spark, gold_path(base, name), {METRICS[name].partition_by: "string"})
+
+
+class _Tables:
+    """The inputs of one run, each opened or computed when a metric first needs it."""
+
+    def __init__(self, spark: SparkSession, base: str, chosen: dict[str, Metric]):
+        self._spark, self._base = spark, base
+        uses = [m.rollup for m in chosen.values()]
+        self._shared = {r for r in _ROLLUPS if uses.count(r) > 1}
+        self._opened: dict[str, DataFrame] = {}
+
+    def _open(self, name: str) -> DataFrame:
+        if name == BILLS:
+            return silver_bills_table(self._spark, self._base)
+        if name == ITEMS:
+            return silver_items_table(self._spark, self._base)
+        if name == SEGMENTS:
+            return gold_table(self._spark, self._base, "rfm_segments")
+        return staged(_ROLLUPS[name](self[BILLS]), f"rollup-{name}")
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._opened:
+            self._opened[name] = self._open(name)
+        return self._opened[name]
+
+    def inputs(self, metric: Metric) -> list[DataFrame]:
+        if metric.rollup in self._shared:
+            return [self[metric.rollup]]
+        return [self[name] for name in metric.inputs]
+
+
+def run_metrics(
+    spark: SparkSession, base: str, names: Iterable[str] | None = None, as_of: AsOf = None
+) -> list[Outcome]:
+    """Publish the named metrics, or all of them, under ``base/gold``.
+
+    Metrics that read the same rollup share one computation of it. A metric that fails
+    is reported with its error and the others go on.
+    """
+    chosen = METRICS if names is None else {name: METRICS[name] for name in names}
+    tables = _Tables(spark, base, chosen)
+    outcomes = []
+    for name, metric in chosen.items():
+        path, error = gold_path(base, name), None
+        try:
+            result = metric(*tables.inputs(metric), as_of=as_of)
+            publish(result, path, metric.partition_by, metric.order)
+        except Exception as failure:  # noqa: BLE001 - reported, the other metrics go on
+            log.exception("metric %s failed", name)
+            error = failure
+        outcomes.append(Outcome(name, path, error))
+    return outcomes
