@@ -1,7 +1,8 @@
 """Loading raw collections to bronze and bronze to silver under a base folder.
 
-Data is written first and the watermark after it. Batches are named after the minute of
-the run, so writing one again replaces it instead of adding copies.
+Data is written first and the watermark after it. A batch is named after the minute of
+its run: repeating a run that died replaces its batch, and a second load in the minute
+of a completed one is refused, as it would replace good rows.
 """
 
 from __future__ import annotations
@@ -12,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from billweave.functions.calendar import month_label
 from billweave.operators.bronze import BRONZE_EXTRACTORS
-from billweave.operators.incremental import incremental_load, is_up_to_date, run_minute, stamped
+from billweave.operators.incremental import incremental_load, is_up_to_date, moment, run_minute, stamped
 from billweave.operators.silver import (
     BILL_INPUTS,
     EXTRACTIONS,
@@ -26,13 +28,14 @@ from billweave.operators.silver import (
 from billweave.schemas import BRONZE, RAW, SILVER
 from billweave.sinks.parquet import append_batch, append_by_store, append_stamped, replace_partitions
 from billweave.sources.parquet import read_collection, read_partitioned
-from billweave.sources.watermark import advance_watermark, read_watermark, write_watermark
+from billweave.sources.watermark import advance_watermark, last_run, read_watermark, write_watermark
 from billweave.staging import staged
 
-# Collections small enough to be kept in batch folders instead of run partitions.
-_UNPARTITIONED = {"storeDetails"}
+# Collections kept in batch folders; the others are partitioned by their run time.
+_IN_BATCHES = {"storeDetails"}
 
 BILL_MONTH = "billMonth"
+_NO_MONTH = "none"
 _SILVER_BY_MONTH = StructType([*SILVER["all_bills"].fields, StructField(BILL_MONTH, StringType())])
 
 
@@ -46,11 +49,21 @@ def raw_table(spark: SparkSession, base: str, collection: str) -> DataFrame:
 
 def bronze_table(spark: SparkSession, base: str, collection: str) -> DataFrame:
     path, schema = data_path(base, "bronze", collection), BRONZE[collection]
-    if collection in _UNPARTITIONED:
+    if collection in _IN_BATCHES:
         return read_collection(spark, path, schema)
     return read_partitioned(spark, path, {"trans_time": "timestamp_ntz"}, schema)
 
 
+def _new_run(
+    spark: SparkSession, base: str, layer: str, collection: str, run_time: dt.datetime | None
+) -> dt.datetime:
+    run_time = run_minute(run_time)
+    last = last_run(spark, base, layer, collection)
+    if last is not None and run_time <= last:
+        raise ValueError(f"{layer} {collection}: the load of {last} is complete, {run_time} is not after it")
+    return run_time
+
+
 def load_bronze(
     spark: SparkSession,
     raw_base: str,
@@ -58,23 +71,27 @@ def load_bronze(
     collection: str,
     run_time: dt.datetime | None = None,
     skip_if_up_to_date: bool = False,
+    raw: DataFrame | None = None,
 ) -> dt.datetime | None:
-    """Bring the new rows of one raw collection to bronze; returns the new watermark."""
-    run_time = run_minute(run_time)
-    raw = raw_table(spark, raw_base, collection)
+    """Bring the new rows of one raw collection to bronze; returns the new watermark.
+
+    Give ``raw`` to load from something else than the collection's folder, such as
+    ``read_union_by_name`` over folders whose columns drifted.
+    """
+    run_time = _new_run(spark, base, "bronze", collection, run_time)
+    raw = raw_table(spark, raw_base, collection) if raw is None else raw
     watermark = read_watermark(spark, base, "bronze", collection)
     if skip_if_up_to_date and is_up_to_date(raw, watermark):
         return None
     new = BRONZE_EXTRACTORS[collection](incremental_load(raw, "load_time", watermark))
-    batch = staged(stamped(new, "trans_time", run_time), f"bronze-{collection}")
-    if batch.isEmpty():
-        return None
+    batch = stamped(new, "trans_time", run_time)
     path = data_path(base, "bronze", collection)
-    if collection in _UNPARTITIONED:
+    if collection in _IN_BATCHES:
         append_batch(batch, path, run_time)
     else:
         append_stamped(batch, path)
-    return advance_watermark(batch, base, "bronze", collection, "load_time")
+    written = bronze_table(spark, base, collection).where(F.col("trans_time") == moment(run_time))
+    return advance_watermark(written, base, "bronze", collection, "load_time", run_time)
 
 
 def load_all_bronze(
@@ -94,25 +111,24 @@ def _bill_watermarks(spark: SparkSession, base: str) -> dict[str, dt.datetime |
 
 def append_silver_bills(
     spark: SparkSession, base: str, run_time: dt.datetime | None = None, skip_if_up_to_date: bool = False
-) -> bool:
-    """Add the bills that are new since the watermarks; returns whether there were any.
+) -> int:
+    """Add the bills that are new since the watermarks; returns how many there were.
 
-    The watermark of the requests moves with all of them, those of the extractions with
-    the ones that found a bill. Extractions that come in a later load than their bill
-    are not attached; ``upsert_silver_bills`` does that.
+    The watermark of the requests moves with all of them, also those without a store,
+    which are not written; those of the extractions move with the ones that found a
+    bill. An extraction that comes in a later load than its bill is not attached, and
+    copies are removed inside one load only; ``upsert_silver_bills`` does better.
     """
-    run_time = run_minute(run_time)
+    run_time = _new_run(spark, base, "silver", "billRequest", run_time)
     bronze, watermarks = _bronze_inputs(spark, base), _bill_watermarks(spark, base)
     if skip_if_up_to_date and is_up_to_date(bronze["billRequest"], watermarks["billRequest"]):
-        return False
+        return 0
     batch = staged(silver_bills(bronze, run_time, watermarks), "silver-bills")
-    if batch.isEmpty():
-        return False
     append_by_store(batch, data_path(base, "silver", "all_bills"), run_time)
-    advance_watermark(batch, base, "silver", "billRequest", "load_br")
+    advance_watermark(batch, base, "silver", "billRequest", "load_br", run_time)
     for name, (id_name, load_name) in EXTRACTIONS.items():
-        advance_watermark(batch, base, "silver", name, load_name, known=id_name)
-    return True
+        advance_watermark(batch, base, "silver", name, load_name, run_time, known=id_name)
+    return batch.count()
 
 
 def upsert_silver_bills(spark: SparkSession, base: str, run_time: dt.datetime | None = None) -> bool:
@@ -121,51 +137,66 @@ def upsert_silver_bills(spark: SparkSession, base: str, run_time: dt.datetime |
     Bills that any new bronze row belongs to are assembled anew and replace their old
     rows. The table is kept by store and month of the bill, and only the months that
     change are rewritten; as a bill keeps its first request, it never leaves its month.
+    The merged rows are staged before any folder is replaced, so a repeated run gives
+    the same table. Returns whether anything changed.
     """
-    run_time = run_minute(run_time)
+    run_time = _new_run(spark, base, "silver", "billRequest", run_time)
     bronze, watermarks = _bronze_inputs(spark, base), _bill_watermarks(spark, base)
     path = data_path(base, "silver", "all_bills")
-    key = ["storeId", BILL_MONTH]
     first_load = all(mark is None for mark in watermarks.values())
     if first_load:
         fresh = silver_bills(bronze, run_time)
     else:
         ids = staged(affected_bills(bronze, watermarks), "affected-bills")
         fresh = refreshed_bills(bronze, ids, run_time)
-    month = F.date_format("createdAt", "yyyy-MM")
+    month = F.coalesce(month_label(F.to_date("createdAt")), F.lit(_NO_MONTH))
     fresh = staged(bills_to_write(fresh).withColumn(BILL_MONTH, month), "fresh-bills")
-    if not fresh.isEmpty():
-        result = fresh
-        if not first_load:
-            changed = fresh.select(*key).distinct()
-            old = read_partitioned(
-                spark, path, {"storeId": "string", BILL_MONTH: "string"}, _SILVER_BY_MONTH
-            )
-            same_month = [old[c].eqNullSafe(changed[c]) for c in key]
-            kept = old.join(changed, same_month, "left_semi").join(fresh, "billId", "left_anti")
-            result = staged(kept.unionByName(fresh), "merged-bills")
-        replace_partitions(result, path, key)
+    changed = not fresh.isEmpty()
+    if changed:
+        result = fresh if first_load else staged(_merged(spark, path, fresh), "merged-bills")
+        replace_partitions(result, path, ["storeId", BILL_MONTH])
     for name in BILL_INPUTS:
         new = incremental_load(bronze[name], "trans_time", watermarks[name])
-        advance_watermark(new, base, "silver", name, "trans_time")
-    return not fresh.isEmpty()
+        advance_watermark(new, base, "silver", name, "trans_time", run_time)
+    return changed
+
+
+def _merged(spark: SparkSession, path: str, fresh: DataFrame) -> DataFrame:
+    """All rows of the store months that ``fresh`` touches, with its bills replaced."""
+    key = ["storeId", BILL_MONTH]
+    touched = fresh.select(*key).distinct()
+    # Only calendar months, a short list whatever the data: it selects the folders to read.
+    months = [row[0] for row in touched.select(BILL_MONTH).distinct().collect()]
+    old = read_partitioned(spark, path, dict.fromkeys(key, "string"), _SILVER_BY_MONTH)
+    kept = (
+        old.where(F.col(BILL_MONTH).isin(months))
+        .join(touched, key, "left_semi")
+        .join(fresh.select("billId"), "billId", "left_anti")
+    )
+    return kept.unionByName(fresh)
 
 
 def load_silver_items(
     spark: SparkSession, base: str, run_time: dt.datetime | None = None, skip_if_up_to_date: bool = False
-) -> bool:
+) -> int:
     """Add the item lines that are new since the watermark, which then is the run time.
 
-    Call it once per environment, each with its own base folder.
+    Call it once per environment, each with its own base folder. Returns the row count.
     """
-    run_time = run_minute(run_time)
+    run_time = _new_run(spark, base, "silver", "all_items", run_time)
     source = read_collection(spark, data_path(base, "bronze", "items-bronze"), BRONZE["items-bronze"])
     watermark = read_watermark(spark, base, "silver", "all_items")
     if skip_if_up_to_date and is_up_to_date(source, watermark):
-        return False
-    batch = staged(silver_items(source, run_time, watermark), "silver-items")
-    if batch.isEmpty():
-        return False
-    append_batch(batch, data_path(base, "silver", "all_items"), run_time)
-    write_watermark(spark, base, "silver", "all_items", run_time)
-    return True
+        return 0
+    path = data_path(base, "silver", "all_items")
+    append_batch(silver_items(source, run_time, watermark), path, run_time)
+    rows = silver_items_batch(spark, base, run_time).count()
+    if rows:
+        write_watermark(spark, base, "silver", "all_items", run_time, run_time)
+    return rows
+
+
+def silver_items_batch(spark: SparkSession, base: str, run_time: dt.datetime) -> DataFrame:
+    """The item lines that the load of ``run_time`` has written."""
+    items = read_collection(spark, data_path(base, "silver", "all_items"), SILVER["all_items"])
+    return items.where(F.col("load_time") == moment(run_time))

@@ -95,3 +95,5 @@ SILVER = {
     ),
     "all_items": BRONZE["items-bronze"],
 }
+
+WATERMARK = _schema("collection string, watermark timestamp_ntz, run_time timestamp_ntz")

@@ -1,7 +1,8 @@
 """Watermarks: how far a collection has been loaded.
 
-A watermark is a small parquet dataset that gains one row per run; its newest value
-counts. Nothing is overwritten, so a run that dies leaves the last watermark readable.
+A watermark is a small parquet dataset that gains one row per completed load; its
+newest value counts. Nothing is overwritten, so a run that dies leaves the last
+watermark readable.
 """
 
 from __future__ import annotations
@@ -13,41 +14,60 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from billweave.operators.incremental import max_timestamp, moment
+from billweave.schemas import WATERMARK
 
 # Fixed value: the text form of a watermark.
 WATERMARK_FORMAT = "%Y-%m-%d %H:%M:%S"
 
-_SCHEMA = "collection string, watermark timestamp_ntz"
-
 
 def watermark_path(base: str, layer: str, collection: str) -> str:
     return f"{base}/{layer}/{collection}/watermark"
 
 
 def parse_watermark(text: str) -> dt.datetime:
+    """A watermark kept as text elsewhere, for taking it over with ``write_watermark``."""
     return dt.datetime.strptime(text.strip(), WATERMARK_FORMAT)
 
 
-def read_watermark(spark: SparkSession, base: str, layer: str, collection: str) -> dt.datetime | None:
-    """The watermark, or ``None`` before the first load."""
+def _newest(spark: SparkSession, base: str, layer: str, collection: str, column: str) -> dt.datetime | None:
     try:
-        rows = spark.read.schema(_SCHEMA).parquet(watermark_path(base, layer, collection))
+        rows = spark.read.schema(WATERMARK).parquet(watermark_path(base, layer, collection))
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    return max_timestamp(rows, "watermark")
+    return max_timestamp(rows, column)
+
+
+def read_watermark(spark: SparkSession, base: str, layer: str, collection: str) -> dt.datetime | None:
+    """The watermark, or ``None`` before the first load."""
+    return _newest(spark, base, layer, collection, "watermark")
+
+
+def last_run(spark: SparkSession, base: str, layer: str, collection: str) -> dt.datetime | None:
+    """The run time of the last completed load."""
+    return _newest(spark, base, layer, collection, "run_time")
 
 
 def write_watermark(
-    spark: SparkSession, base: str, layer: str, collection: str, value: dt.datetime
+    spark: SparkSession, base: str, layer: str, collection: str, value: dt.datetime, run_time: dt.datetime
 ) -> None:
-    row = spark.range(1).select(F.lit(collection).alias("collection"), moment(value).alias("watermark"))
-    row.coalesce(1).write.mode("append").parquet(watermark_path(base, layer, collection))
+    row = spark.range(1, numPartitions=1).select(
+        F.lit(collection).alias("collection"),
+        moment(value).alias("watermark"),
+        moment(run_time).alias("run_time"),
+    )
+    row.write.mode("append").parquet(watermark_path(base, layer, collection))
 
 
 def advance_watermark(
-    loaded: DataFrame, base: str, layer: str, collection: str, column: str, known: str | None = None
+    loaded: DataFrame,
+    base: str,
+    layer: str,
+    collection: str,
+    column: str,
+    run_time: dt.datetime,
+    known: str | None = None,
 ) -> dt.datetime | None:
     """Move the watermark to the newest ``column`` of what was loaded.
 
@@ -56,5 +76,5 @@ def advance_watermark(
     """
     newest = max_timestamp(loaded, column, known)
     if newest is not None:
-        write_watermark(loaded.sparkSession, base, layer, collection, newest)
+        write_watermark(loaded.sparkSession, base, layer, collection, newest, run_time)
     return newest
