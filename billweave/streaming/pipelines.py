@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -12,6 +12,15 @@ from billweave.operators.dedupe import ITEM_KEY
 from billweave.schemas import RAW
 
 
+def _as_instant(naive: Column) -> Column:
+    """A naive time read as UTC whatever the session zone; streams need zoned event times."""
+    return F.from_utc_timestamp(naive.cast("timestamp"), F.current_timezone())
+
+
+def _as_naive(instant: Column) -> Column:
+    return F.to_utc_timestamp(instant, F.current_timezone()).cast("timestamp_ntz")
+
+
 def stream_collection(
     spark: SparkSession, path: str, schema: StructType, files: str = "*.parquet", files_per_batch: int = 1000
 ) -> DataFrame:
@@ -32,32 +41,37 @@ def append_available(rows: DataFrame, path: str, checkpoint: str, *partition_by:
     return writer.trigger(availableNow=True).start(path)
 
 
+def with_run_minute(rows: DataFrame) -> DataFrame:
+    """Stamp rows with the minute their batch was started."""
+    minute = _as_naive(F.date_trunc("minute", F.current_timestamp()))
+    return rows.withColumn("trans_time", minute)
+
+
 def stream_bronze(
     spark: SparkSession, raw_base: str, collection: str, path: str, checkpoint: str
 ) -> StreamingQuery:
-    """New raw files of a collection to bronze; a file is taken exactly once."""
+    """New raw files of a collection to bronze, laid out as the batch load does it."""
     raw = stream_collection(spark, f"{raw_base}/{collection}/data", RAW[collection])
-    minute = F.date_trunc("minute", F.current_timestamp()).cast("timestamp_ntz")
-    bronze = BRONZE_EXTRACTORS[collection](raw).withColumn("trans_time", minute)
-    return append_available(bronze, path, checkpoint)
-
-
-def _event_time(rows: DataFrame, column: str) -> DataFrame:
-    # Streaming watermarks are kept on zoned timestamps.
-    return rows.withColumn(column, F.col(column).cast("timestamp"))
+    bronze = with_run_minute(BRONZE_EXTRACTORS[collection](raw))
+    return append_available(bronze, path, checkpoint, "trans_time")
 
 
 def first_items(items: DataFrame, delay: str = "1 day", time: str = "createdAt") -> DataFrame:
     """Item lines without the copies that follow within ``delay`` of the first."""
-    return _event_time(items, time).withWatermark(time, delay).dropDuplicatesWithinWatermark(list(ITEM_KEY))
+    return (
+        items.withColumn(time, _as_instant(F.col(time)))
+        .withWatermark(time, delay)
+        .dropDuplicatesWithinWatermark(list(ITEM_KEY))
+        .withColumn(time, _as_naive(F.col(time)))
+    )
 
 
 def daily_sales(bills: DataFrame, delay: str = "1 day", time: str = "createdAt") -> DataFrame:
     """Sales by store and day, given out once ``delay`` after the day's end has passed."""
     return (
-        _event_time(bills, time)
+        bills.withColumn(time, _as_instant(F.col(time)))
         .withWatermark(time, delay)
         .groupBy(F.window(time, "1 day"), "storeId")
         .agg(F.sum("billAmount").alias("total_sales"))
-        .select("storeId", F.to_date("window.start").alias("date"), "total_sales")
+        .select("storeId", F.to_date(_as_naive(F.col("window.start"))).alias("date"), "total_sales")
     )

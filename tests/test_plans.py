@@ -146,7 +146,7 @@ def test_query_equals_its_twin(spark, name):
     assert not [text for text in found if not text.startswith("note")]
 
 
-@pytest.mark.parametrize("name", ["avg_week", "monthly_bills", "sales_trend_date_hour", "product_sales_this_month"])
+@pytest.mark.parametrize("name", ["avg_week", "monthly_bills", "sales_trend_date_hour", "product_sales_this_month", "stream_daily_sales", "stream_first_items"])
 def test_results_do_not_depend_on_the_session_zone(spark, name):
     expected = oracle_connection(SF).execute(oracle_sql()[name]).df()
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")

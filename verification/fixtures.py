@@ -11,6 +11,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from billweave.streaming.pipelines import stream_collection
+
 AS_OF = dt.date(2001, 8, 1)
 EVENTS_AS_OF = dt.date(2024, 1, 30)
 RUN_TIME = dt.datetime(2001, 8, 2, 6, 30)
@@ -52,8 +54,8 @@ def bills(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bills_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select(
+def bills_of_events(events: DataFrame) -> DataFrame:
+    return events.select(
         F.col("event_id").cast("string").alias("billId"),
         F.concat(F.lit("S"), (F.col("event_id") % 8).cast("string")).alias("storeId"),
         F.concat(F.lit("9"), F.lpad(F.col("user_id").cast("string"), 9, "0")).alias("mobileNumber"),
@@ -63,6 +65,10 @@ def bills_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bills_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bills_of_events(table(spark, sf_dir, "events"))
+
+
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", _store_id().alias("storeId"), _created_at().alias("createdAt")
@@ -217,6 +223,15 @@ def raw_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_event_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return invoices_of_events(table(spark, sf_dir, "events"))
+
+
+def raw_event_invoice_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = table(spark, sf_dir, "events").schema
+    return invoices_of_events(stream_collection(spark, sf_dir, schema, files="events.parquet"))
+
+
+def invoices_of_events(events: DataFrame) -> DataFrame:
     """Extracted invoices whose amount text is made from event properties.
 
     Errors carry a text amount, searches a quoted number and purchases an apostrophe
@@ -230,7 +245,7 @@ def raw_event_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("{'value': "), k, F.lit(", 'x': None}")))
     )
     key = F.col("event_id").cast("string")
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         text.alias("InvoiceTotal"),
         key.alias("billId"),
         F.col("event_type").alias("tenantId"),
@@ -242,3 +257,10 @@ def raw_event_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
         _after(F.col("ts"), F.lit(3600)).alias("load_time"),
         F.lit("[]").alias("Items"),
     )
+
+
+def event_bill_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bills made from events, read as a stream of files."""
+    schema = table(spark, sf_dir, "events").schema
+    events = stream_collection(spark, sf_dir, schema, files="events.parquet")
+    return bills_of_events(events)

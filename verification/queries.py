@@ -12,6 +12,8 @@ from billweave.operators import bronze, silver
 from billweave.operators.incremental import incremental_load, stamped
 from billweave.operators.segments import rfm_segments
 from billweave.plans.registry import BILLS, ITEMS, METRICS
+from billweave.staging import new_folder
+from billweave.streaming.pipelines import append_available, daily_sales, first_items
 from verification import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +97,33 @@ def _unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return broken.groupBy("tenantId").agg(F.count(F.lit(1)).alias("invoices"))
 
 
+def _streamed(spark: SparkSession, name: str, rows: DataFrame) -> DataFrame:
+    """Run a stream over everything there is and read back what it wrote."""
+    path = new_folder(spark, name)
+    append_available(rows, path, new_folder(spark, f"{name}-checkpoint")).awaitTermination()
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def _stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    invoices = bronze.bronze_invoices(fixtures.raw_event_invoice_stream(spark, sf_dir))
+    return _comparable(_streamed(spark, "stream-bronze", invoices))
+
+
+def _stream_first_bills(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of a store seen first, as lines whose copies follow within the period."""
+    visits = fixtures.event_bill_stream(spark, sf_dir).select(
+        F.col("storeId").alias("billId"), F.col("name").alias("itemName"), "createdAt"
+    )
+    day = F.date_trunc("day", "createdAt").cast("timestamp_ntz")
+    first = _streamed(spark, "stream-items", first_items(visits.withColumn("createdAt", day), delay="60 days"))
+    return first.select("billId", "itemName", F.to_date("createdAt").cast("string").alias("date"))
+
+
+def _stream_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sales = daily_sales(fixtures.event_bill_stream(spark, sf_dir))
+    return _comparable(_streamed(spark, "stream-sales", sales))
+
+
 def queries() -> dict[str, Query]:
     found = {name: _metric(name, name in _ON_EVENTS) for name in METRICS}
     found |= {f"{name}_events": _metric(name, True) for name in sorted(_ALSO_ON_EVENTS)}
@@ -108,4 +137,7 @@ def queries() -> dict[str, Query]:
         "silver_bills_full": _silver_bills,
         "silver_items_dedupe": _silver_items,
         "incremental_filter": _incremental,
+        "stream_bronze_invoices": _stream_bronze,
+        "stream_first_items": _stream_first_bills,
+        "stream_daily_sales": _stream_daily_sales,
     }
