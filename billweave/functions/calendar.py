@@ -30,6 +30,13 @@ DAY_WINDOWS = (
 WEEKDAYS = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
 
 
+# Optional partition column of the silver tables: the month of ``createdAt``. Spark skips
+# folders by it, while it does not skip parquet row groups by a naive timestamp. Rows
+# without a time have a month that sorts before all others.
+MONTH_FOLDER = "createdMonth"
+NO_MONTH = "0000-00"
+
+
 def as_of_day(as_of: AsOf = None) -> Column:
     """The as-of day as a foldable date column; today when none is given."""
     if as_of is None:
@@ -46,12 +53,27 @@ def month_start(as_of: AsOf, months_back: int = 0) -> Column:
     return F.add_months(F.trunc(as_of_day(as_of), "month"), -months_back)
 
 
-def midnight(day: Column, df: DataFrame, column: str = "createdAt") -> Column:
-    """``day`` as a bound in the type of ``df[column]``.
+def created_within(
+    df: DataFrame, first: Column, following: Column | None = None, time: str = "createdAt"
+) -> Column:
+    """Rows from midnight of ``first`` on and, if given, before midnight of ``following``.
 
-    The column is then compared uncast, so the comparison can reach the file scan.
+    The bounds take the type of the column, which is then compared uncast. Where the
+    table has month folders, those outside the bounds are not read.
     """
-    return day.cast(df.schema[column].dataType)
+    kind = df.schema[time].dataType
+    within = F.col(time) >= first.cast(kind)
+    if following is not None:
+        within &= F.col(time) < following.cast(kind)
+    if MONTH_FOLDER in df.columns:
+        within &= F.col(MONTH_FOLDER) >= month_label(first)
+        if following is not None:
+            within &= F.col(MONTH_FOLDER) <= month_label(following)
+    return within
+
+
+def month_folder(time: str = "createdAt") -> Column:
+    return F.coalesce(month_label(F.to_date(time)), F.lit(NO_MONTH))
 
 
 def day_window_conditions(day: Column, as_of: AsOf) -> dict[str, Column]:

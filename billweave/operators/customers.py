@@ -13,11 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from billweave.functions.calendar import (
+    MONTH_FOLDER,
     AsOf,
     calendar_columns,
+    created_within,
     day_window_conditions,
     days_before,
-    midnight,
     month_label,
     weekday_name,
 )
@@ -125,7 +126,8 @@ def cltv(bills: DataFrame) -> DataFrame:
 def churn_60day(bills: DataFrame, as_of: AsOf = None, days: int = 60) -> DataFrame:
     """Customers whose last purchase lies before midnight of the cut-off day."""
     customers = customer_totals(bills, STORE_CUSTOMER)
-    churned = F.col("last_visit") < midnight(days_before(as_of, days), customers, "last_visit")
+    cut_off = days_before(as_of, days).cast(customers.schema["last_visit"].dataType)
+    churned = F.col("last_visit") < cut_off
     return (
         customers.groupBy("storeId")
         .agg(F.count(F.lit(1)).alias("total_customers"), F.count_if(churned).alias("churned_customers"))
@@ -199,9 +201,9 @@ def active_customers(
     A last visit inside the period is also the last of the visits in the period, so
     older bills are dropped at the scan.
     """
-    visits = _visits(bills)
-    recent = F.col("last_visit") >= midnight(days_before(as_of, days), visits, "last_visit")
-    return _latest_visits(visits.where(recent), customer_key)
+    time = "last_visit" if is_rollup(bills) else "createdAt"
+    recent = bills.where(created_within(bills, days_before(as_of, days), time=time))
+    return _latest_visits(_visits(recent), customer_key)
 
 
 def repeat_customers_name_and_number(bills: DataFrame) -> DataFrame:
@@ -218,4 +220,4 @@ def repeat_customers_name_and_number(bills: DataFrame) -> DataFrame:
 
 def storewise_data(bills: DataFrame) -> DataFrame:
     """All columns of all bills; publishing it stores them by store."""
-    return bills
+    return bills.drop(MONTH_FOLDER)

@@ -5,30 +5,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from billweave.functions.calendar import AsOf, midnight, month_start
+from billweave.functions.calendar import MONTH_FOLDER, AsOf, created_within, month_start
 from billweave.functions.predicates import any_item, known_store, named_item, numeric_price, real_item
 from billweave.operators.dedupe import distinct_items
 
 _SALE = ("billId", "createdAt", "itemName", "storeId")
 _BASKET = ("storeId", "billId", "createdAt")
 
-# Items per basket, or per block of a larger basket, whose pairs one row expands to.
+# Items of a basket, or of a block of a larger basket, that are paired in one task.
 PAIR_BLOCK = 256
 
 
 def _since_recent_month(items: DataFrame, months: int) -> Column:
     """Lines of the latest ``months`` calendar months that occur in *all* the items.
 
-    Months are ordered, so being one of the latest is a lower bound on the time. The
-    bound is a one-row subquery and is compared with the column itself, at the scan.
+    Months are ordered, so being one of the latest is a lower bound on the time, found
+    by a one-row subquery. Month folders give it without reading any item.
     """
-    month = F.trunc("createdAt", "month").alias("month")
+    folders = MONTH_FOLDER in items.columns
+    month = F.col(MONTH_FOLDER) if folders else F.trunc("createdAt", "month")
     if months == 1:
-        oldest = items.agg(F.trunc(F.max("createdAt"), "month").alias("month"))
+        oldest = items.agg(F.max(month).alias("month"))
     else:
-        recent = items.select(month).distinct().orderBy(F.col("month").desc_nulls_last()).limit(months)
+        found = items.select(month.alias("month")).distinct()
+        recent = found.orderBy(F.col("month").desc_nulls_last()).limit(months)
         oldest = recent.agg(F.min("month").alias("month"))
-    return F.col("createdAt") >= midnight(oldest.scalar(), items)
+    if folders:
+        return (F.col(MONTH_FOLDER) >= oldest.scalar()) & F.col("createdAt").isNotNull()
+    return created_within(items, oldest.scalar())
 
 
 def _times_sold(items: DataFrame) -> DataFrame:
@@ -68,9 +72,7 @@ def product_quantity_this_quarter(items: DataFrame) -> DataFrame:
 
 def product_sales_this_month(items: DataFrame, as_of: AsOf = None) -> DataFrame:
     """Sales in the calendar month of the as-of day."""
-    first = midnight(month_start(as_of), items)
-    following = midnight(month_start(as_of, -1), items)
-    return _product_sale(items.where((F.col("createdAt") >= first) & (F.col("createdAt") < following)))
+    return _product_sale(items.where(created_within(items, month_start(as_of), month_start(as_of, -1))))
 
 
 def product_sales_last_3_month(items: DataFrame) -> DataFrame:
@@ -102,21 +104,27 @@ def product_basket(items: DataFrame) -> DataFrame:
 
 
 def _pairs_inside(basket: DataFrame) -> DataFrame:
-    """Pairs of a sorted array ``block``."""
-    return (
-        basket.select("storeId", "block", F.posexplode("block").alias("place", "product_a"))
-        .select(
-            "storeId",
-            "product_a",
-            F.explode(F.slice("block", F.col("place") + 2, F.size("block"))).alias("product_b"),
-        )
+    """Pairs of a sorted array ``basket``."""
+    first = basket.select("storeId", "basket", F.posexplode("basket").alias("place", "product_a"))
+    later = F.slice("basket", F.col("place") + 2, F.size("basket"))
+    return first.select("storeId", "product_a", F.explode(later).alias("product_b"))
+
+
+def _pairs_by_block(basket: DataFrame, block: int) -> DataFrame:
+    """The same, with each block of a basket and each two blocks spread over the cluster."""
+    starts = F.sequence(F.lit(1), F.size("basket"), F.lit(block))
+    blocks = F.transform(starts, lambda start: F.slice("basket", start, F.lit(block)))
+    later = F.slice("blocks", F.col("left") + 1, F.size("blocks"))
+    couples = (
+        basket.select(*_BASKET, blocks.alias("blocks"))
+        .select(*_BASKET, "blocks", F.posexplode("blocks").alias("left", "first"))
+        .select(*_BASKET, "left", "first", F.posexplode(later).alias("right", "second"))
+        .repartition(*_BASKET, "left", "right")
     )
-
-
-def _pairs_across(blocks: DataFrame) -> DataFrame:
-    """Pairs of an item of ``block`` with one of the later ``other`` block."""
-    return blocks.select("storeId", "other", F.explode("block").alias("product_a")).select(
-        "storeId", "product_a", F.explode("other").alias("product_b")
+    return (
+        couples.select("storeId", "second", F.explode("first").alias("product_a"))
+        .select("storeId", "product_a", F.explode("second").alias("product_b"))
+        .where("product_a < product_b")
     )
 
 
@@ -124,43 +132,13 @@ def product_pairs(items: DataFrame, block: int = PAIR_BLOCK) -> DataFrame:
     """Bills in which two products occur together, each pair once, in name order.
 
     A basket of up to ``block`` items is expanded where it is. A larger one is cut into
-    blocks, and its blocks and pairs of blocks are spread over the cluster before they
-    are expanded, so no task gets the pairs of a whole large basket.
+    blocks that are spread before they are expanded, so no task gets all its pairs.
     """
     basket = (
         baskets(items)
         .where(F.col("billId").isNotNull() & F.col("createdAt").isNotNull())
-        .select(*_BASKET, F.col("item_combination").alias("block"))
-    )
-    small = basket.where(F.size("block") <= block)
-
-    starts = F.sequence(F.lit(1), F.size("block"), F.lit(block))
-    large = (
-        basket.where(F.size("block") > block)
-        .select(*_BASKET, "block", F.explode(starts).alias("start"))
-        .select(
-            *_BASKET,
-            "start",
-            F.slice("block", F.col("start"), block).alias("first"),
-            F.slice("block", F.col("start") + block, F.size("block")).alias("rest"),
-        )
-    )
-    within = large.select(*_BASKET, "start", F.col("first").alias("block"), F.lit(0).alias("later"))
-    across = (
-        large.where(F.size("rest") > 0)
-        .select(*_BASKET, "start", "first", "rest", F.explode(F.sequence(F.lit(1), F.size("rest"), F.lit(block))).alias("later"))
-        .select(
-            *_BASKET,
-            "start",
-            F.col("first").alias("block"),
-            "later",
-            F.slice("rest", F.col("later"), block).alias("other"),
-        )
-    )
-    spread = [*_BASKET, "start", "later"]
-    pairs = (
-        _pairs_inside(small.select("storeId", "block"))
-        .unionByName(_pairs_inside(within.repartition(*spread).select("storeId", "block")))
-        .unionByName(_pairs_across(across.repartition(*spread).select("storeId", "block", "other")))
+        .select(*_BASKET, F.col("item_combination").alias("basket"))
     )
+    large = F.size("basket") > block
+    pairs = _pairs_inside(basket.where(~large)).unionByName(_pairs_by_block(basket.where(large), block))
     return pairs.groupBy("storeId", "product_a", "product_b").agg(F.count(F.lit(1)).alias("pair_count"))

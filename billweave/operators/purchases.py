@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from billweave.functions.calendar import AsOf, midnight, month_start
+from billweave.functions.calendar import AsOf, created_within, month_start
 from billweave.functions.predicates import known_store, named_item, valid_customer
 from billweave.operators.rollups import CUSTOMER_KEY
 
@@ -21,9 +21,7 @@ def customer_item_purchase_frequency(
     """
     bills = bills.where(known_store() & valid_customer())
     if months is not None:
-        first = midnight(month_start(as_of, months - 1), bills)
-        following = midnight(month_start(as_of, -1), bills)
-        bills = bills.where((F.col("createdAt") >= first) & (F.col("createdAt") < following))
+        bills = bills.where(created_within(bills, month_start(as_of, months - 1), month_start(as_of, -1)))
     bought = (
         items.where(named_item() & F.col("billId").isNotNull()).select("billId", "itemName").distinct()
     )

@@ -11,9 +11,8 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
-from billweave.functions.calendar import month_label
+from billweave.functions.calendar import MONTH_FOLDER, month_folder
 from billweave.operators.bronze import BRONZE_EXTRACTORS
 from billweave.operators.incremental import incremental_load, is_up_to_date, moment, run_minute, stamped
 from billweave.operators.silver import (
@@ -27,17 +26,13 @@ from billweave.operators.silver import (
 )
 from billweave.schemas import BRONZE, RAW, SILVER
 from billweave.sinks.parquet import append_batch, append_by_store, append_stamped, replace_partitions
-from billweave.sources.parquet import read_collection, read_partitioned
+from billweave.sources.parquet import read_by_month, read_collection, read_partitioned
 from billweave.sources.watermark import advance_watermark, last_run, read_watermark, write_watermark
-from billweave.staging import staged
+from billweave.staging import staged, staging
 
 # Collections kept in batch folders; the others are partitioned by their run time.
 _IN_BATCHES = {"storeDetails"}
 
-BILL_MONTH = "billMonth"
-_NO_MONTH = "none"
-_SILVER_BY_MONTH = StructType([*SILVER["all_bills"].fields, StructField(BILL_MONTH, StringType())])
-
 
 def data_path(base: str, layer: str, collection: str) -> str:
     return f"{base}/{layer}/{collection}/data"
@@ -123,12 +118,13 @@ def append_silver_bills(
     bronze, watermarks = _bronze_inputs(spark, base), _bill_watermarks(spark, base)
     if skip_if_up_to_date and is_up_to_date(bronze["billRequest"], watermarks["billRequest"]):
         return 0
-    batch = staged(silver_bills(bronze, run_time, watermarks), "silver-bills")
-    append_by_store(batch, data_path(base, "silver", "all_bills"), run_time)
-    advance_watermark(batch, base, "silver", "billRequest", "load_br", run_time)
-    for name, (id_name, load_name) in EXTRACTIONS.items():
-        advance_watermark(batch, base, "silver", name, load_name, run_time, known=id_name)
-    return batch.count()
+    with staging(spark):
+        batch = staged(silver_bills(bronze, run_time, watermarks), "silver-bills")
+        append_by_store(batch, data_path(base, "silver", "all_bills"), run_time)
+        advance_watermark(batch, base, "silver", "billRequest", "load_br", run_time)
+        for name, (id_name, load_name) in EXTRACTIONS.items():
+            advance_watermark(batch, base, "silver", name, load_name, run_time, known=id_name)
+        return batch.count()
 
 
 def upsert_silver_bills(spark: SparkSession, base: str, run_time: dt.datetime | None = None) -> bool:
@@ -143,33 +139,44 @@ def upsert_silver_bills(spark: SparkSession, base: str, run_time: dt.datetime |
     run_time = _new_run(spark, base, "silver", "billRequest", run_time)
     bronze, watermarks = _bronze_inputs(spark, base), _bill_watermarks(spark, base)
     path = data_path(base, "silver", "all_bills")
+    with staging(spark):
+        changed = _write_merged(spark, bronze, watermarks, path, run_time)
+    for name in BILL_INPUTS:
+        new = incremental_load(bronze[name], "trans_time", watermarks[name])
+        advance_watermark(new, base, "silver", name, "trans_time", run_time)
+    return changed
+
+
+def _write_merged(
+    spark: SparkSession,
+    bronze: dict[str, DataFrame],
+    watermarks: dict[str, dt.datetime | None],
+    path: str,
+    run_time: dt.datetime,
+) -> bool:
     first_load = all(mark is None for mark in watermarks.values())
     if first_load:
         fresh = silver_bills(bronze, run_time)
     else:
         ids = staged(affected_bills(bronze, watermarks), "affected-bills")
         fresh = refreshed_bills(bronze, ids, run_time)
-    month = F.coalesce(month_label(F.to_date("createdAt")), F.lit(_NO_MONTH))
-    fresh = staged(bills_to_write(fresh).withColumn(BILL_MONTH, month), "fresh-bills")
-    changed = not fresh.isEmpty()
-    if changed:
-        result = fresh if first_load else staged(_merged(spark, path, fresh), "merged-bills")
-        replace_partitions(result, path, ["storeId", BILL_MONTH])
-    for name in BILL_INPUTS:
-        new = incremental_load(bronze[name], "trans_time", watermarks[name])
-        advance_watermark(new, base, "silver", name, "trans_time", run_time)
-    return changed
+    fresh = staged(bills_to_write(fresh).withColumn(MONTH_FOLDER, month_folder()), "fresh-bills")
+    if fresh.isEmpty():
+        return False
+    result = fresh if first_load else staged(_merged(spark, path, fresh), "merged-bills")
+    replace_partitions(result, path, ["storeId", MONTH_FOLDER])
+    return True
 
 
 def _merged(spark: SparkSession, path: str, fresh: DataFrame) -> DataFrame:
     """All rows of the store months that ``fresh`` touches, with its bills replaced."""
-    key = ["storeId", BILL_MONTH]
+    key = ["storeId", MONTH_FOLDER]
     touched = fresh.select(*key).distinct()
     # Only calendar months, a short list whatever the data: it selects the folders to read.
-    months = [row[0] for row in touched.select(BILL_MONTH).distinct().collect()]
-    old = read_partitioned(spark, path, dict.fromkeys(key, "string"), _SILVER_BY_MONTH)
+    months = [row[0] for row in touched.select(MONTH_FOLDER).distinct().collect()]
+    old = read_by_month(spark, path, {"storeId": "string"}, SILVER["all_bills"])
     kept = (
-        old.where(F.col(BILL_MONTH).isin(months))
+        old.where(F.col(MONTH_FOLDER).isin(months))
         .join(touched, key, "left_semi")
         .join(fresh.select("billId"), "billId", "left_anti")
     )
@@ -189,7 +196,7 @@ def load_silver_items(
     if skip_if_up_to_date and is_up_to_date(source, watermark):
         return 0
     path = data_path(base, "silver", "all_items")
-    append_batch(silver_items(source, run_time, watermark), path, run_time)
+    append_batch(silver_items(source, run_time, watermark), path, run_time, by_month=True)
     rows = silver_items_batch(spark, base, run_time).count()
     if rows:
         write_watermark(spark, base, "silver", "all_items", run_time, run_time)

@@ -13,8 +13,8 @@ from billweave.operators.rollups import customer_totals, hourly_totals
 from billweave.plans.registry import BILLS, CUSTOMER, HOURLY, ITEMS, METRICS, SEGMENTS, Metric
 from billweave.schemas import SILVER
 from billweave.sinks.parquet import publish
-from billweave.sources.parquet import read_collection, read_partitioned
-from billweave.staging import staged
+from billweave.sources.parquet import read_by_month, read_partitioned
+from billweave.staging import staged, staging
 
 log = logging.getLogger(__name__)
 
@@ -29,13 +29,12 @@ class Outcome:
 
 
 def silver_bills_table(spark: SparkSession, base: str) -> DataFrame:
-    return read_partitioned(
-        spark, f"{base}/silver/all_bills/data", {"storeId": "string"}, SILVER["all_bills"]
-    )
+    path = f"{base}/silver/all_bills/data"
+    return read_by_month(spark, path, {"storeId": "string"}, SILVER["all_bills"])
 
 
 def silver_items_table(spark: SparkSession, base: str) -> DataFrame:
-    return read_collection(spark, f"{base}/silver/all_items/data", SILVER["all_items"])
+    return read_by_month(spark, f"{base}/silver/all_items/data", {}, SILVER["all_items"])
 
 
 def gold_path(base: str, name: str) -> str:
@@ -86,13 +85,14 @@ def run_metrics(
     chosen = METRICS if names is None else {name: METRICS[name] for name in names}
     tables = _Tables(spark, base, chosen)
     outcomes = []
-    for name, metric in chosen.items():
-        path, error = gold_path(base, name), None
-        try:
-            result = metric(*tables.inputs(metric), as_of=as_of)
-            publish(result, path, metric.partition_by, metric.order)
-        except Exception as failure:  # noqa: BLE001 - reported, the other metrics go on
-            log.exception("metric %s failed", name)
-            error = failure
-        outcomes.append(Outcome(name, path, error))
+    with staging(spark):
+        for name, metric in chosen.items():
+            path, error = gold_path(base, name), None
+            try:
+                result = metric(*tables.inputs(metric), as_of=as_of)
+                publish(result, path, metric.partition_by, metric.order)
+            except Exception as failure:  # noqa: BLE001 - reported, the other metrics go on
+                log.exception("metric %s failed", name)
+                error = failure
+            outcomes.append(Outcome(name, path, error))
     return outcomes

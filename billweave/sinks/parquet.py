@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from billweave.functions.calendar import MONTH_FOLDER, month_folder
+
 # Fixed value: how a batch is named after the minute of its run.
 BATCH_FORMAT = "%Y%m%d_%H%M"
 
@@ -37,35 +39,35 @@ def publish(df: DataFrame, path: str, partition_by: str = "storeId", order: Sequ
     _replace_partitions(df, path, [partition_by], order)
 
 
-def append_batch(df: DataFrame, path: str, run_time: dt.datetime) -> None:
-    """Add a batch named after its minute; writing the same minute again replaces it."""
-    batch = df.withColumn("batch", F.lit(run_time.strftime(BATCH_FORMAT)))
-    (
-        batch.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch")
-        .parquet(path)
-    )
+def _batch(run_time: dt.datetime) -> Column:
+    return F.lit(run_time.strftime(BATCH_FORMAT))
+
+
+def append_batch(df: DataFrame, path: str, run_time: dt.datetime, by_month: bool = False) -> None:
+    """Add a batch named after its minute; writing the same minute again replaces it.
+
+    With ``by_month`` the batch lies in the folders of the months of ``createdAt``.
+    """
+    batch = df.withColumn("batch", _batch(run_time))
+    if by_month:
+        _replace_partitions(batch.withColumn(MONTH_FOLDER, month_folder()), path, [MONTH_FOLDER, "batch"])
+    else:
+        _replace_partitions(batch, path, ["batch"])
 
 
 def append_stamped(df: DataFrame, path: str, stamp: str = "trans_time") -> None:
     """Add a batch as the partition of its run stamp, a constant; a rerun replaces it."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(stamp)
-        .parquet(path)
-    )
+    _replace_partitions(df, path, [stamp])
 
 
 def append_by_store(df: DataFrame, path: str, run_time: dt.datetime) -> None:
-    """Add a batch to the partitions of its stores; rows without a store are left out.
+    """Add a batch to its stores and months; rows without a store are left out.
 
-    Inside a store the rows lie in a folder of the batch, so a rerun replaces them.
+    The rows lie in a folder of the batch, so a rerun replaces them.
     """
     known = df.where(F.col("storeId").isNotNull())
-    batch = known.withColumn("batch", F.lit(run_time.strftime(BATCH_FORMAT)))
-    _replace_partitions(batch, path, ["storeId", "batch"])
+    batch = known.withColumn(MONTH_FOLDER, month_folder()).withColumn("batch", _batch(run_time))
+    _replace_partitions(batch, path, ["storeId", MONTH_FOLDER, "batch"])
 
 
 def replace_partitions(df: DataFrame, path: str, columns: Sequence[str]) -> None:

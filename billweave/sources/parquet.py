@@ -7,7 +7,9 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from billweave.functions.calendar import MONTH_FOLDER
 
 
 def read_collection(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -46,12 +48,21 @@ def read_partitioned(
     The partition columns get the given types instead of guessed ones, so ``0012``
     stays a string. Filters on them select folders.
     """
-    reader = spark.read
-    data = schema
-    if data is None:
-        data = reader.parquet(path).schema
+    data = spark.read.parquet(path).schema if schema is None else schema
     fields = StructType([f for f in data.fields if f.name not in partition_types])
     for name, kind in partition_types.items():
         fields = fields.add(name, kind)
     read = spark.read.schema(fields).parquet(path)
     return read.select(*[F.col(f"`{c}`") for c in data.names])
+
+
+def read_by_month(
+    spark: SparkSession, path: str, partition_types: Mapping[str, str], schema: StructType
+) -> DataFrame:
+    """``read_partitioned``, with the month folder as a column where the layout has one."""
+    types = {**partition_types, MONTH_FOLDER: "string"}
+    fields = StructType([*schema.fields, StructField(MONTH_FOLDER, StringType())])
+    rows = read_partitioned(spark, path, types, fields)
+    file = rows.select("_metadata.file_path").first()
+    in_folders = file is not None and f"/{MONTH_FOLDER}=" in file[0]
+    return rows if in_folders else rows.drop(MONTH_FOLDER)

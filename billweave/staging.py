@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+_area: contextvars.ContextVar[str | None] = contextvars.ContextVar("staging_area", default=None)
+
 
 @functools.cache
 def _local_folder(application_id: str) -> str:
@@ -29,7 +34,20 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_area.get() or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextlib.contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what is staged inside the block."""
+    folder = new_folder(spark, "staging")
+    token = _area.set(folder)
+    try:
+        yield
+    finally:
+        _area.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """What the planner makes of the metrics, and publishing them."""
 
+import os
 import re
 
 import pytest
@@ -7,9 +8,17 @@ from pyspark.sql import functions as F
 
 from billweave.operators import customers, products, purchases, sales
 from billweave.operators.rollups import customer_totals, hourly_totals
-from billweave.plans.gold import gold_path, gold_table, run_metrics
+from billweave.plans.gold import (
+    gold_path,
+    gold_table,
+    run_metrics,
+    silver_bills_table,
+    silver_items_table,
+)
 from billweave.plans.registry import CUSTOMER, HOURLY, METRICS, SEGMENTS
 from billweave.schemas import SILVER
+from billweave.sinks.parquet import append_batch, append_by_store
+from billweave.staging import shared_folder, staged, staging
 from verification import fixtures
 from verification.check import differences, oracle_connection
 from verification.oracle import oracle_sql
@@ -40,8 +49,6 @@ def silver(spark, tmp_path_factory):
 
 @pytest.fixture(scope="module")
 def tables(spark, silver):
-    from billweave.plans.gold import silver_bills_table, silver_items_table
-
     return {"bills": silver_bills_table(spark, silver), "items": silver_items_table(spark, silver)}
 
 
@@ -95,6 +102,59 @@ def test_time_bounds_reach_the_scan(tables, make):
     assert re.search(r"PushedFilters: .*GreaterThanOrEqual\(createdAt", plan_of(make(tables)))
 
 
+@pytest.fixture(scope="module")
+def by_month(spark, tables, tmp_path_factory):
+    """The same tables as the loads of this package lay them out, one row without a time."""
+    base = str(tmp_path_factory.mktemp("months"))
+    run_time = fixtures.RUN_TIME
+    timeless = tables["items"].limit(1).withColumn("createdAt", F.lit(None).cast("timestamp_ntz"))
+    append_by_store(tables["bills"], f"{base}/silver/all_bills/data", run_time)
+    append_batch(tables["items"].union(timeless), f"{base}/silver/all_items/data", run_time, by_month=True)
+    return {"bills": silver_bills_table(spark, base), "items": silver_items_table(spark, base)}
+
+
+RECENT = [
+    "active_customers_30",
+    "product_quantity_this_month",
+    "product_quantity_this_quarter",
+    "product_sales_this_month",
+    "product_sales_last_3_month",
+    "customer_item_purchase_frequency_last3_month",
+]
+
+
+@pytest.mark.parametrize("name", RECENT)
+def test_recent_metrics_read_only_their_month_folders(tables, by_month, name):
+    metric = METRICS[name]
+
+    def result(source):
+        return metric(*[source[i] for i in metric.inputs], as_of=fixtures.AS_OF)
+
+    assert re.search(r"PartitionFilters: \[.*createdMonth", plan_of(result(by_month)))
+    known = {"bills": tables["bills"].where("storeId is not null"), "items": tables["items"]}
+    rounded = [F.round(c, 6).alias(c) if kind == "double" else c for c, kind in result(known).dtypes]
+    assert differences(result(known).select(*rounded).toPandas(), result(by_month).select(*rounded).toPandas()) == []
+
+
+def test_latest_month_is_found_without_reading_items(by_month):
+    plan = plan_of(products.product_quantity_this_quarter(by_month["items"]))
+    assert "ReadSchema: struct<>" in plan
+
+
+def test_month_folders_are_no_bill_column(by_month):
+    assert customers.storewise_data(by_month["bills"]).columns == SILVER["all_bills"].names
+
+
+def test_staging_removes_its_folders(spark):
+    outside = staged(spark.range(3), "outside")
+    with staging(spark):
+        inside = staged(spark.range(3), "inside")
+        files = ["/" + f.removeprefix("file:").lstrip("/") for f in inside.inputFiles()]
+        assert inside.count() == 3 and all(map(os.path.exists, files))
+    assert not any(map(os.path.exists, files))
+    assert outside.count() == 3 and all(shared_folder(spark) in f for f in outside.inputFiles())
+
+
 def test_store_filter_selects_folders(tables):
     plan = plan_of(sales.daily_sales_trend(tables["bills"]).where("storeId = 'S1'"))
     assert re.search(r"PartitionFilters: .*storeId.* = S1", plan)
