@@ -18,8 +18,11 @@ def _value_text(text: Column) -> Column:
 
 
 def to_amount(text: Column) -> Column:
-    """Numeric text as a double; anything else is NULL instead of an error."""
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    """Numeric text as a double; anything else is NULL instead of an error.
+
+    The pattern gives the whole text or nothing, so ``text`` is evaluated once.
+    """
+    return F.regexp_extract(text, _NUMBER, 0).try_cast("double")
 
 
 def extracted_amount(text: Column) -> Column:

@@ -115,11 +115,14 @@ def _pairs_by_block(basket: DataFrame, block: int) -> DataFrame:
     starts = F.sequence(F.lit(1), F.size("basket"), F.lit(block))
     blocks = F.transform(starts, lambda start: F.slice("basket", start, F.lit(block)))
     later = F.slice("blocks", F.col("left") + 1, F.size("blocks"))
+    # A stated number of partitions: the rows are small, and would else be put together
+    # again, but each grows to the square of the block.
+    partitions = int(basket.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     couples = (
         basket.select(*_BASKET, blocks.alias("blocks"))
         .select(*_BASKET, "blocks", F.posexplode("blocks").alias("left", "first"))
         .select(*_BASKET, "left", "first", F.posexplode(later).alias("right", "second"))
-        .repartition(*_BASKET, "left", "right")
+        .repartition(partitions, *_BASKET, "left", "right")
     )
     return (
         couples.select("storeId", "second", F.explode("first").alias("product_a"))

@@ -97,7 +97,7 @@ def _cut_amounts(customers: DataFrame, cut_slots: DataFrame) -> DataFrame:
 
 def _store_cuts(customers: DataFrame) -> DataFrame:
     """One row per store with the cut values of the three measures, best first."""
-    cut_slots = staged(_cut_slots(customers), "segment-slots")
+    cut_slots = _cut_slots(customers)
     counted = cut_slots.where("measure <> 'm'").select("storeId", "measure", "cut", "slot")
     amounts = _cut_amounts(customers, cut_slots).select("storeId", "cut", "amount")
     both = counted.unionByName(amounts.withColumn("measure", F.lit("m")), allowMissingColumns=True)

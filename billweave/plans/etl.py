@@ -26,20 +26,32 @@ from billweave.operators.silver import (
 )
 from billweave.schemas import BRONZE, RAW, SILVER
 from billweave.sinks.parquet import append_batch, append_by_store, append_stamped, replace_partitions
-from billweave.sources.parquet import read_by_month, read_collection, read_partitioned
+from billweave.sources.parquet import (
+    read_by_month,
+    read_collection,
+    read_partitioned,
+    read_union_by_name,
+    subfolders,
+)
 from billweave.sources.watermark import advance_watermark, last_run, read_watermark, write_watermark
 from billweave.staging import staged, staging
 
 # Collections kept in batch folders; the others are partitioned by their run time.
 _IN_BATCHES = {"storeDetails"}
 
+# Raw collections whose files differ in their columns, one batch folder to the next.
+_DRIFTED = {"billtransactions"}
+
 
 def data_path(base: str, layer: str, collection: str) -> str:
     return f"{base}/{layer}/{collection}/data"
 
 
 def raw_table(spark: SparkSession, base: str, collection: str) -> DataFrame:
-    return read_collection(spark, f"{base}/{collection}/data", RAW[collection])
+    path = f"{base}/{collection}/data"
+    if collection in _DRIFTED:
+        return read_union_by_name(spark, subfolders(spark, path))
+    return read_collection(spark, path, RAW[collection])
 
 
 def bronze_table(spark: SparkSession, base: str, collection: str) -> DataFrame:
@@ -66,15 +78,10 @@ def load_bronze(
     collection: str,
     run_time: dt.datetime | None = None,
     skip_if_up_to_date: bool = False,
-    raw: DataFrame | None = None,
 ) -> dt.datetime | None:
-    """Bring the new rows of one raw collection to bronze; returns the new watermark.
-
-    Give ``raw`` to load from something else than the collection's folder, such as
-    ``read_union_by_name`` over folders whose columns drifted.
-    """
+    """Bring the new rows of one raw collection to bronze; returns the new watermark."""
     run_time = _new_run(spark, base, "bronze", collection, run_time)
-    raw = raw_table(spark, raw_base, collection) if raw is None else raw
+    raw = raw_table(spark, raw_base, collection)
     watermark = read_watermark(spark, base, "bronze", collection)
     if skip_if_up_to_date and is_up_to_date(raw, watermark):
         return None

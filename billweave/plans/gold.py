@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextvars
 import logging
+import threading
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,6 +56,7 @@ class _Tables:
         uses = [m.rollup for m in chosen.values()]
         self._shared = {r for r in _ROLLUPS if uses.count(r) > 1}
         self._opened: dict[str, DataFrame] = {}
+        self._lock = threading.RLock()
 
     def _open(self, name: str) -> DataFrame:
         if name == BILLS:
@@ -64,9 +68,10 @@ class _Tables:
         return staged(_ROLLUPS[name](self[BILLS]), f"rollup-{name}")
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._opened:
-            self._opened[name] = self._open(name)
-        return self._opened[name]
+        with self._lock:
+            if name not in self._opened:
+                self._opened[name] = self._open(name)
+            return self._opened[name]
 
     def inputs(self, metric: Metric) -> list[DataFrame]:
         if metric.rollup in self._shared:
@@ -75,24 +80,37 @@ class _Tables:
 
 
 def run_metrics(
-    spark: SparkSession, base: str, names: Iterable[str] | None = None, as_of: AsOf = None
+    spark: SparkSession,
+    base: str,
+    names: Iterable[str] | None = None,
+    as_of: AsOf = None,
+    parallel: int = 4,
 ) -> list[Outcome]:
     """Publish the named metrics, or all of them, under ``base/gold``.
 
-    Metrics that read the same rollup share one computation of it. A metric that fails
-    is reported with its error and the others go on.
+    Metrics that read the same rollup share one computation of it, and up to
+    ``parallel`` of them are published at a time, so short stages do not leave the
+    cluster idle. Metrics of the published segments follow the others. A metric that
+    fails is reported with its error and the others go on.
     """
     chosen = METRICS if names is None else {name: METRICS[name] for name in names}
     tables = _Tables(spark, base, chosen)
-    outcomes = []
-    with staging(spark):
-        for name, metric in chosen.items():
-            path, error = gold_path(base, name), None
-            try:
-                result = metric(*tables.inputs(metric), as_of=as_of)
-                publish(result, path, metric.partition_by, metric.order)
-            except Exception as failure:  # noqa: BLE001 - reported, the other metrics go on
-                log.exception("metric %s failed", name)
-                error = failure
-            outcomes.append(Outcome(name, path, error))
-    return outcomes
+
+    def run(name: str) -> Outcome:
+        metric, path = chosen[name], gold_path(base, name)
+        try:
+            result = metric(*tables.inputs(metric), as_of=as_of)
+            publish(result, path, metric.partition_by, metric.order, spread=not metric.by_store)
+        except Exception as error:  # noqa: BLE001 - reported, the other metrics go on
+            log.exception("metric %s failed", name)
+            return Outcome(name, path, error)
+        return Outcome(name, path)
+
+    done = {}
+    with staging(spark), ThreadPoolExecutor(parallel) as pool:
+        for after_segments in (False, True):
+            wave = [name for name, m in chosen.items() if (SEGMENTS in m.inputs) == after_segments]
+            # Each thread gets the staging area through a copy of the context.
+            running = {name: pool.submit(contextvars.copy_context().run, run, name) for name in wave}
+            done |= {name: outcome.result() for name, outcome in running.items()}
+    return [done[name] for name in chosen]

@@ -20,7 +20,8 @@ class Metric:
     """One published table.
 
     ``inputs`` are the tables the function takes, in order. ``rollup`` names the shared
-    aggregate that may stand in for the bills. ``highest_first`` or ``lowest_first`` names
+    aggregate that may stand in for the bills. ``by_store`` marks rows that lie by store
+    already, as the silver bills do, and need no shuffle to be stored so. ``highest_first`` or ``lowest_first`` names
     the column that sorts rows inside each file.
     """
 
@@ -29,6 +30,7 @@ class Metric:
     dated: bool = False
     rollup: str | None = None
     partition_by: str = "storeId"
+    by_store: bool = False
     highest_first: str | None = None
     lowest_first: str | None = None
 
@@ -110,5 +112,5 @@ METRICS = {
     "customer_item_purchase_frequency_current_month": Metric(partial(_frequency, months=1), **_BOUGHT),
     "customer_item_purchase_frequency_last3_month": Metric(partial(_frequency, months=3), **_BOUGHT),
     "customer_item_purchase_frequency_last6_month": Metric(partial(_frequency, months=6), **_BOUGHT),
-    "storewise_data": Metric(customers.storewise_data),
+    "storewise_data": Metric(customers.storewise_data, by_store=True),
 }

@@ -1,8 +1,9 @@
 """Writers of parquet datasets.
 
-Partitioned writes go through ``rebalance``: rows of one partition value come together
-in a few files, small values share a task, and a value that holds much of the data is
-split over several tasks.
+Writes into partitions go through ``rebalance``: rows of one partition value come
+together in a few files, small values share a task, and a value that holds much of the
+data is split over several tasks. Rows that already lie together are written where they
+are, without a shuffle.
 """
 
 from __future__ import annotations
@@ -19,24 +20,34 @@ from billweave.functions.calendar import MONTH_FOLDER, month_folder
 BATCH_FORMAT = "%Y%m%d_%H%M"
 
 
-def _replace_partitions(df: DataFrame, path: str, columns: Sequence[str], order: Sequence[Column | str] = ()) -> None:
-    spread = df.hint("rebalance", *columns)
+def _replace_partitions(
+    df: DataFrame, path: str, columns: Sequence[str], order: Sequence[Column] = (), spread: bool = True
+) -> None:
+    if spread:
+        df = df.hint("rebalance", *columns)
     if order:
-        spread = spread.sortWithinPartitions(*columns, *order)
+        df = df.sortWithinPartitions(*columns, *order)
     (
-        spread.write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*columns)
         .parquet(path)
     )
 
 
-def publish(df: DataFrame, path: str, partition_by: str = "storeId", order: Sequence[Column | str] = ()) -> None:
+def publish(
+    df: DataFrame,
+    path: str,
+    partition_by: str = "storeId",
+    order: Sequence[Column] = (),
+    spread: bool = True,
+) -> None:
     """Replace the partitions that occur in ``df`` and leave the others.
 
-    ``order`` sorts the rows inside each file; a dataset has no order of its own.
+    ``order`` sorts the rows inside each file; a dataset has no order of its own. Give
+    ``spread=False`` for rows that were read by partition anyway.
     """
-    _replace_partitions(df, path, [partition_by], order)
+    _replace_partitions(df, path, [partition_by], order, spread)
 
 
 def _batch(run_time: dt.datetime) -> Column:
@@ -52,12 +63,12 @@ def append_batch(df: DataFrame, path: str, run_time: dt.datetime, by_month: bool
     if by_month:
         _replace_partitions(batch.withColumn(MONTH_FOLDER, month_folder()), path, [MONTH_FOLDER, "batch"])
     else:
-        _replace_partitions(batch, path, ["batch"])
+        _replace_partitions(batch, path, ["batch"], spread=False)
 
 
 def append_stamped(df: DataFrame, path: str, stamp: str = "trans_time") -> None:
     """Add a batch as the partition of its run stamp, a constant; a rerun replaces it."""
-    _replace_partitions(df, path, [stamp])
+    _replace_partitions(df, path, [stamp], spread=False)
 
 
 def append_by_store(df: DataFrame, path: str, run_time: dt.datetime) -> None:

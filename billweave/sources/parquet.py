@@ -4,17 +4,24 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from billweave.functions.calendar import MONTH_FOLDER
 
+_SCHEMA_READERS = 16
+
+
+def _subtree(spark: SparkSession) -> DataFrameReader:
+    return spark.read.option("recursiveFileLookup", "true")
+
 
 def read_collection(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """All parquet files at or below ``path``, under a declared schema."""
-    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+    return _subtree(spark).schema(schema).parquet(path)
 
 
 def read_union_by_name(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
@@ -24,19 +31,25 @@ def read_union_by_name(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
     with the same schema are read together, so the plan grows with the number of
     distinct schemas and not with the number of datasets.
     """
+    paths = list(paths)
+    if not paths:
+        raise ValueError("no paths to read")
+    with ThreadPoolExecutor(_SCHEMA_READERS) as pool:
+        schemas = list(pool.map(lambda path: _subtree(spark).parquet(path).schema, paths))
     by_schema: dict[str, tuple[StructType, list[str]]] = {}
-    for path in paths:
-        schema = spark.read.option("recursiveFileLookup", "true").parquet(path).schema
+    for path, schema in zip(paths, schemas):
         by_schema.setdefault(schema.simpleString(), (schema, []))[1].append(path)
-    if not by_schema:
-        raise ValueError("no paths to read")
-    parts = [
-        spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*group)
-        for schema, group in by_schema.values()
-    ]
+    parts = [_subtree(spark).schema(schema).parquet(*group) for schema, group in by_schema.values()]
     return functools.reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """The folders directly below ``path``, in name order."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().toString() for s in files.listStatus(root) if s.isDirectory())
+
+
 def read_partitioned(
     spark: SparkSession,
     path: str,

@@ -129,6 +129,17 @@ def test_union_by_name_widens_and_fills(spark, folder):
     ]
 
 
+def test_transactions_of_drifted_batches(spark, folder):
+    path = f"{folder}/raw/billtransactions/data"
+    first = raw_rows(spark, "billtransactions", transaction("1", at(1), "12.5"))
+    first.drop("walletAmount", "dob").write.parquet(f"{path}/a")
+    second = raw_rows(spark, "billtransactions", transaction("2", at(2), "7"), transaction("3", at(2), None))
+    second.withColumn("billAmount", F.col("billAmount").cast("double")).write.parquet(f"{path}/b")
+    assert etl.load_bronze(spark, f"{folder}/raw", folder, "billtransactions", at(3)) == at(2)
+    found = etl.bronze_table(spark, folder, "billtransactions")
+    assert rows(found, "billId", "billAmount", "dob") == [("1", 12.5, None), ("2", 7.0, None), ("3", None, None)]
+
+
 def test_publish_replaces_only_written_partitions(spark, folder):
     path = f"{folder}/kpi"
     first = spark.createDataFrame([("0012", 1), ("0012", 2), ("7", 3), (None, 4)], "storeId string, v int")

@@ -10,6 +10,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from billweave.streaming.pipelines import stream_collection
 
@@ -19,8 +20,15 @@ RUN_TIME = dt.datetime(2001, 8, 2, 6, 30)
 ITEMS_WATERMARK = dt.datetime(2001, 7, 1)
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; its schema is read from the file once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def _after(time: Column, seconds: Column) -> Column:
