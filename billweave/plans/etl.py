@@ -1,8 +1,9 @@
 """Loading raw collections to bronze and bronze to silver under a base folder.
 
 Data is written first and the watermark after it. A batch is named after the minute of
-its run: repeating a run that died replaces its batch, and a second load in the minute
-of a completed one is refused, as it would replace good rows.
+its run: repeating a run that died, with its run time, replaces its batch. Repeated
+later, it loads the same rows again; silver keeps one of them. New rows in the minute of
+a completed load are refused, as they would replace its rows; they load a minute later.
 """
 
 from __future__ import annotations
@@ -39,6 +40,9 @@ from billweave.staging import staged, staging
 # Collections kept in batch folders; the others are partitioned by their run time.
 _IN_BATCHES = {"storeDetails"}
 
+# Folder values that are listed in a filter.
+_FOLDER_LIST = 1000
+
 # Raw collections whose files differ in their columns, one batch folder to the next.
 _DRIFTED = {"billtransactions"}
 
@@ -61,14 +65,16 @@ def bronze_table(spark: SparkSession, base: str, collection: str) -> DataFrame:
     return read_partitioned(spark, path, {"trans_time": "timestamp_ntz"}, schema)
 
 
-def _new_run(
-    spark: SparkSession, base: str, layer: str, collection: str, run_time: dt.datetime | None
-) -> dt.datetime:
-    run_time = run_minute(run_time)
+def _may_run(
+    spark: SparkSession, base: str, layer: str, collection: str, run_time: dt.datetime, new: DataFrame
+) -> bool:
+    """Whether a load of ``new`` may use this run time; a used one is an error if there are rows."""
     last = last_run(spark, base, layer, collection)
-    if last is not None and run_time <= last:
-        raise ValueError(f"{layer} {collection}: the load of {last} is complete, {run_time} is not after it")
-    return run_time
+    if last is None or run_time > last:
+        return True
+    if new.isEmpty():
+        return False
+    raise ValueError(f"{layer} {collection}: the load of {last} is complete, {run_time} is not after it")
 
 
 def load_bronze(
@@ -80,13 +86,15 @@ def load_bronze(
     skip_if_up_to_date: bool = False,
 ) -> dt.datetime | None:
     """Bring the new rows of one raw collection to bronze; returns the new watermark."""
-    run_time = _new_run(spark, base, "bronze", collection, run_time)
+    run_time = run_minute(run_time)
     raw = raw_table(spark, raw_base, collection)
     watermark = read_watermark(spark, base, "bronze", collection)
     if skip_if_up_to_date and is_up_to_date(raw, watermark):
         return None
-    new = BRONZE_EXTRACTORS[collection](incremental_load(raw, "load_time", watermark))
-    batch = stamped(new, "trans_time", run_time)
+    new = incremental_load(raw, "load_time", watermark)
+    if not _may_run(spark, base, "bronze", collection, run_time, new):
+        return None
+    batch = stamped(BRONZE_EXTRACTORS[collection](new), "trans_time", run_time)
     path = data_path(base, "bronze", collection)
     if collection in _IN_BATCHES:
         append_batch(batch, path, run_time)
@@ -121,10 +129,13 @@ def append_silver_bills(
     bill. An extraction that comes in a later load than its bill is not attached, and
     copies are removed inside one load only; ``upsert_silver_bills`` does better.
     """
-    run_time = _new_run(spark, base, "silver", "billRequest", run_time)
+    run_time = run_minute(run_time)
     bronze, watermarks = _bronze_inputs(spark, base), _bill_watermarks(spark, base)
     if skip_if_up_to_date and is_up_to_date(bronze["billRequest"], watermarks["billRequest"]):
         return 0
+    requests = incremental_load(bronze["billRequest"], "trans_time", watermarks["billRequest"])
+    if not _may_run(spark, base, "silver", "billRequest", run_time, requests):
+        return 0
     with staging(spark):
         batch = staged(silver_bills(bronze, run_time, watermarks), "silver-bills")
         append_by_store(batch, data_path(base, "silver", "all_bills"), run_time)
@@ -143,8 +154,10 @@ def upsert_silver_bills(spark: SparkSession, base: str, run_time: dt.datetime |
     The merged rows are staged before any folder is replaced, so a repeated run gives
     the same table. Returns whether anything changed.
     """
-    run_time = _new_run(spark, base, "silver", "billRequest", run_time)
+    run_time = run_minute(run_time)
     bronze, watermarks = _bronze_inputs(spark, base), _bill_watermarks(spark, base)
+    if not _may_run(spark, base, "silver", "billRequest", run_time, affected_bills(bronze, watermarks)):
+        return False
     path = data_path(base, "silver", "all_bills")
     with staging(spark):
         changed = _write_merged(spark, bronze, watermarks, path, run_time)
@@ -179,12 +192,14 @@ def _merged(spark: SparkSession, path: str, fresh: DataFrame) -> DataFrame:
     """All rows of the store months that ``fresh`` touches, with its bills replaced."""
     key = ["storeId", MONTH_FOLDER]
     touched = fresh.select(*key).distinct()
-    # Only calendar months, a short list whatever the data: it selects the folders to read.
-    months = [row[0] for row in touched.select(MONTH_FOLDER).distinct().collect()]
     old = read_by_month(spark, path, {"storeId": "string"}, SILVER["all_bills"])
+    # Short lists select the folders to read. Without them the join alone does the work.
+    for column in key:
+        values = [row[0] for row in touched.select(column).distinct().limit(_FOLDER_LIST + 1).collect()]
+        if len(values) <= _FOLDER_LIST:
+            old = old.where(F.col(column).isin(values))
     kept = (
-        old.where(F.col(MONTH_FOLDER).isin(months))
-        .join(touched, key, "left_semi")
+        old.join(touched, key, "left_semi")
         .join(fresh.select("billId"), "billId", "left_anti")
     )
     return kept.unionByName(fresh)
@@ -197,11 +212,14 @@ def load_silver_items(
 
     Call it once per environment, each with its own base folder. Returns the row count.
     """
-    run_time = _new_run(spark, base, "silver", "all_items", run_time)
+    run_time = run_minute(run_time)
     source = read_collection(spark, data_path(base, "bronze", "items-bronze"), BRONZE["items-bronze"])
     watermark = read_watermark(spark, base, "silver", "all_items")
     if skip_if_up_to_date and is_up_to_date(source, watermark):
         return 0
+    new = incremental_load(source, "load_time", watermark)
+    if not _may_run(spark, base, "silver", "all_items", run_time, new):
+        return 0
     path = data_path(base, "silver", "all_items")
     append_batch(silver_items(source, run_time, watermark), path, run_time, by_month=True)
     rows = silver_items_batch(spark, base, run_time).count()

@@ -13,6 +13,10 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A skewed join is split even where the split costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # State of streams on local disk with checkpoints, not in executor memory.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     "spark.ui.enabled": "false",
 }
 

@@ -108,6 +108,16 @@ def test_up_to_date_tolerance(spark):
     assert not is_up_to_date(df.where("false"), at(5))
 
 
+def test_up_to_date_source_is_skipped(spark, folder):
+    raw = f"{folder}/raw"
+    row = {**request("1", at(1)), "createdAt": at(1)}
+    add_raw(spark, folder, "1", billRequest=[row])
+    assert etl.load_bronze(spark, raw, folder, "billRequest", at(3)) == at(1)
+    add_raw(spark, folder, "2", billRequest=[{**row, "load_time": at(2)}])
+    assert etl.load_bronze(spark, raw, folder, "billRequest", at(4), skip_if_up_to_date=True) is None
+    assert etl.load_bronze(spark, raw, folder, "billRequest", at(4)) == at(2)
+
+
 def test_watermark_round_trip(spark, folder):
     assert read_watermark(spark, folder, "bronze", "x") is None
     write_watermark(spark, folder, "bronze", "x", at(3), at(9))
@@ -173,12 +183,13 @@ def test_bronze_load_is_incremental(spark, folder):
     assert etl.load_bronze(spark, raw, base, "billRequest", at(4)) is None
     add_raw(spark, folder, "2", billRequest=[request("3", at(2)), request("4", at(5))])
     assert etl.load_bronze(spark, raw, base, "billRequest", at(6)) == at(5)
+    assert etl.load_bronze(spark, raw, base, "billRequest", at(6)) is None
+    add_raw(spark, folder, "3", billRequest=[request("5", at(6))])
     with pytest.raises(ValueError):
         etl.load_bronze(spark, raw, base, "billRequest", at(6))
     found = etl.bronze_table(spark, base, "billRequest")
     assert rows(found, "billId", "trans_time") == [("1", at(3)), ("2", at(3)), ("4", at(6))]
     assert rows(etl.bronze_table(spark, base, "storeDetails"), "storeId", "onboard_date") == [("S1", dt.date(2024, 5, 1))]
-    assert etl.load_bronze(spark, raw, base, "billRequest", at(7), skip_if_up_to_date=True) is None
 
 
 BATCHES = [
@@ -230,7 +241,8 @@ def test_upserts_equal_one_full_load(spark, folder):
 
 def test_repeated_upsert_changes_nothing(spark, folder):
     before = rows(run_batches(spark, folder, etl.upsert_silver_bills), *SHOWN, "load_time")
-    assert not etl.upsert_silver_bills(spark, folder, at(22))
+    for hour in (14, 22):  # an hour before the last run has nothing to load either
+        assert not etl.upsert_silver_bills(spark, folder, at(hour))
     assert rows(silver_bills_table(spark, folder), *SHOWN, "load_time") == before
 
 

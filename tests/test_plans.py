@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from billweave.operators import customers, products, purchases, sales
 from billweave.operators.rollups import customer_totals, hourly_totals
+from billweave.operators.segments import cust_segment_count, rfm_segments
 from billweave.plans.gold import (
     gold_path,
     gold_table,
@@ -193,6 +194,42 @@ def test_pair_counts_add_up(tables):
     assert pairs == sizes.agg(F.sum(F.expr("n * (n - 1) div 2"))).first()[0]
 
 
+def test_active_and_inactive_split_the_customers(tables):
+    bills, key = tables["bills"], ("mobileNumber",)
+    active = customers.active_customers(bills, fixtures.AS_OF, 30, key).select("mobileNumber")
+    inactive = customers.inactive_customers(bills, fixtures.AS_OF, 30, key).select("mobileNumber")
+    known = bills.where("storeId is not null and length(mobileNumber) = 10").select("mobileNumber").distinct()
+    assert active.intersect(inactive).isEmpty()
+    assert active.union(inactive).exceptAll(known).isEmpty() and known.exceptAll(active.union(inactive)).isEmpty()
+
+
+def test_segment_scores_and_counts(spark, tables):
+    segments = rfm_segments(tables["bills"], fixtures.AS_OF)
+    scores = segments.agg(*[f(c) for c in ("r_score", "f_score", "m_score") for f in (F.min, F.max)]).first()
+    assert set(scores) <= {1, 2, 3, 4, 5}
+    counted = cust_segment_count(segments).agg(F.sum("count_of_customers")).first()[0]
+    assert counted >= segments.select("storeId", "mobileNumber").distinct().count()
+
+
+def test_publishing_twice_gives_the_same_table(spark, silver):
+    def published():
+        (outcome,) = run_metrics(spark, silver, ["product_basket"], fixtures.AS_OF)
+        assert outcome.error is None
+        return gold_table(spark, silver, "product_basket")
+
+    first = [tuple(map(str, row)) for row in published().collect()]
+    assert sorted(first) == sorted(tuple(map(str, row)) for row in published().collect()) and first
+
+
+def test_files_are_sorted_inside(spark, silver):
+    run_metrics(spark, silver, ["top_spenders"], fixtures.AS_OF)
+    rows = gold_table(spark, silver, "top_spenders").select("total_spend", "_metadata.file_path").collect()
+    by_file = {}
+    for spend, file in rows:
+        by_file.setdefault(file, []).append(spend if spend is not None else float("-inf"))
+    assert len(by_file) > 1 and all(values == sorted(values, reverse=True) for values in by_file.values())
+
+
 def test_every_query_has_a_twin_or_is_a_stream():
     without = set(queries()) - set(oracle_sql())
     assert all(name.startswith("stream_") for name in without)
