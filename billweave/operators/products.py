@@ -81,11 +81,13 @@ def product_sales_last_3_month(items: DataFrame) -> DataFrame:
 
 
 def baskets(items: DataFrame) -> DataFrame:
-    """The sorted distinct items of each bill.
+    """The sorted distinct items of each bill that has two or more.
 
     Repeats are removed before and after the shuffle, so a basket holds at most the
-    catalogue, however many lines its bill has.
+    catalogue, however many lines its bill has. Baskets made earlier pass unchanged.
     """
+    if "item_combination" in items.columns:
+        return items
     return (
         items.where(named_item() & known_store())
         .groupBy(*_BASKET)
@@ -95,6 +97,7 @@ def baskets(items: DataFrame) -> DataFrame:
 
 
 def product_basket(items: DataFrame) -> DataFrame:
+    """Bills by their exact combination of items; takes items or ``baskets``."""
     combination = baskets(items).select(
         "storeId", "item_combination", F.size("item_combination").cast("bigint").alias("item_count")
     )
@@ -134,7 +137,7 @@ def _pairs_by_block(basket: DataFrame, block: int) -> DataFrame:
 def product_pairs(items: DataFrame, block: int = PAIR_BLOCK) -> DataFrame:
     """Bills in which two products occur together, each pair once, in name order.
 
-    A basket of up to ``block`` items is expanded where it is. A larger one is cut into
+    Takes items or ``baskets``. A basket of up to ``block`` items is expanded where it is. A larger one is cut into
     blocks that are spread before they are expanded, so no task gets all its pairs.
     """
     basket = (

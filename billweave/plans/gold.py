@@ -12,8 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from billweave.functions.calendar import AsOf
-from billweave.operators.rollups import customer_totals, hourly_totals
-from billweave.plans.registry import BILLS, CUSTOMER, HOURLY, ITEMS, METRICS, SEGMENTS, Metric
+from billweave.plans.registry import BILLS, ITEMS, METRICS, ROLLUPS, SEGMENTS, Metric
 from billweave.schemas import SILVER
 from billweave.sinks.parquet import publish
 from billweave.sources.parquet import read_by_month, read_partitioned
@@ -21,8 +20,6 @@ from billweave.staging import staged, staging
 
 log = logging.getLogger(__name__)
 
-_ROLLUPS = {HOURLY: hourly_totals, CUSTOMER: customer_totals}
-
 
 @dataclass(frozen=True)
 class Outcome:
@@ -51,10 +48,10 @@ def gold_table(spark: SparkSession, base: str, name: str) -> DataFrame:
 class _Tables:
     """The inputs of one run, each opened or computed when a metric first needs it."""
 
-    def __init__(self, spark: SparkSession, base: str, chosen: dict[str, Metric]):
-        self._spark, self._base = spark, base
+    def __init__(self, spark: SparkSession, base: str, chosen: dict[str, Metric], as_of: AsOf):
+        self._spark, self._base, self._as_of = spark, base, as_of
         uses = [m.rollup for m in chosen.values()]
-        self._shared = {r for r in _ROLLUPS if uses.count(r) > 1}
+        self._shared = {r for r in ROLLUPS if uses.count(r) > 1}
         self._opened: dict[str, DataFrame] = {}
         self._lock = threading.RLock()
 
@@ -65,7 +62,9 @@ class _Tables:
             return silver_items_table(self._spark, self._base)
         if name == SEGMENTS:
             return gold_table(self._spark, self._base, "rfm_segments")
-        return staged(_ROLLUPS[name](self[BILLS]), f"rollup-{name}")
+        make, inputs, dated = ROLLUPS[name]
+        day = {"as_of": self._as_of} if dated else {}
+        return staged(make(*[self[table] for table in inputs], **day), f"rollup-{name}")
 
     def __getitem__(self, name: str) -> DataFrame:
         with self._lock:
@@ -94,7 +93,7 @@ def run_metrics(
     fails is reported with its error and the others go on.
     """
     chosen = METRICS if names is None else {name: METRICS[name] for name in names}
-    tables = _Tables(spark, base, chosen)
+    tables = _Tables(spark, base, chosen, as_of)
 
     def run(name: str) -> Outcome:
         metric, path = chosen[name], gold_path(base, name)

@@ -9,10 +9,18 @@ from functools import partial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from billweave.operators import customers, products, purchases, sales, segments
+from billweave.operators import customers, products, purchases, rollups, sales, segments
 
 BILLS, ITEMS, SEGMENTS = "bills", "items", "segments"
-HOURLY, CUSTOMER = "hourly", "customer"
+HOURLY, CUSTOMER, BASKETS, PURCHASES = "hourly", "customer", "baskets", "purchases"
+
+# Shared aggregates: how they are made, from which tables, and whether for a day.
+ROLLUPS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...], bool]] = {
+    HOURLY: (rollups.hourly_totals, (BILLS,), False),
+    CUSTOMER: (rollups.customer_totals, (BILLS,), False),
+    BASKETS: (products.baskets, (ITEMS,), False),
+    PURCHASES: (purchases.purchase_totals, (BILLS, ITEMS), True),
+}
 
 
 @dataclass(frozen=True)
@@ -20,7 +28,7 @@ class Metric:
     """One published table.
 
     ``inputs`` are the tables the function takes, in order. ``rollup`` names the shared
-    aggregate that may stand in for the bills. ``by_store`` marks rows that lie by store
+    aggregate that may stand in for them. ``by_store`` marks rows that lie by store
     already, as the silver bills do, and need no shuffle to be stored so. ``highest_first`` or ``lowest_first`` names
     the column that sorts rows inside each file.
     """
@@ -48,7 +56,7 @@ def _by_mobile(function, days: int):
 
 
 _frequency = purchases.customer_item_purchase_frequency
-_BOUGHT = {"inputs": (BILLS, ITEMS), "dated": True, "highest_first": "times_purchased"}
+_BOUGHT = {"inputs": (BILLS, ITEMS), "dated": True, "rollup": PURCHASES, "highest_first": "times_purchased"}
 
 METRICS = {
     "daily_sales_trend": Metric(sales.daily_sales_trend, rollup=HOURLY),
@@ -100,8 +108,8 @@ METRICS = {
     "customer_visit_windows_dev": Metric(customers.customer_visit_windows_dev, dated=True),
     "top_prods_by_qt": Metric(products.top_prods_by_qt, (ITEMS,), highest_first="no_times_sold"),
     "top_prods_by_sales": Metric(products.top_prods_by_sales, (ITEMS,), highest_first="product_sale"),
-    "product_basket": Metric(products.product_basket, (ITEMS,), highest_first="combination_count"),
-    "product_pairs": Metric(products.product_pairs, (ITEMS,), highest_first="pair_count"),
+    "product_basket": Metric(products.product_basket, (ITEMS,), rollup=BASKETS, highest_first="combination_count"),
+    "product_pairs": Metric(products.product_pairs, (ITEMS,), rollup=BASKETS, highest_first="pair_count"),
     "product_quantity_this_month": Metric(products.product_quantity_this_month, (ITEMS,), highest_first="times_sold"),
     "product_quantity_this_quarter": Metric(products.product_quantity_this_quarter, (ITEMS,), highest_first="times_sold"),
     "product_sales_this_month": Metric(

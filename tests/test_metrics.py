@@ -319,6 +319,19 @@ def test_purchases_ignore_the_items_store_and_copies(bills, items):
     assert {r["times_purchased"] for r in frequency(b, i, A, 3).collect()} == {2}
 
 
+def test_purchase_totals_serve_every_period(bills, items):
+    b = bills(*[("S1", M1, "a", 1.0, ago(d)) for d in (-3, 0, 0, 20, 40, 95, 200)])
+    # A copy of bill 1 with another time, and one of bill 5 without any.
+    other = b.where("billId = '1'").withColumn("createdAt", F.lit(ago(45)))
+    timeless = b.where("billId = '5'").withColumn("createdAt", F.lit(None).cast("timestamp_ntz"))
+    b = b.union(other).union(timeless)
+    i = items(*[(str(bill), "S1", ago(0), "tea", "1") for bill in range(7)])
+    totals, frequency = purchases.purchase_totals(b, i, A), purchases.customer_item_purchase_frequency
+    for months, expected in ((None, 7), (1, 3), (2, 4), (3, 4), (6, 5)):
+        assert only(frequency(b, i, A, months))["times_purchased"] == expected
+        assert only(frequency(totals, None, A, months))["times_purchased"] == expected
+
+
 def test_distinct_items_survivor(spark):
     lines = [("1", "S1", ago(0), "tea", price, load) for price, load in (("1", ago(3)), ("2", ago(1)), ("3", ago(1)), ("9", None))]
     lines += [(None, "S1", None, None, "1", ago(3))] * 2

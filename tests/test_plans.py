@@ -7,7 +7,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from billweave.operators import customers, products, purchases, sales
-from billweave.operators.rollups import customer_totals, hourly_totals
 from billweave.operators.segments import cust_segment_count, rfm_segments
 from billweave.plans.gold import (
     gold_path,
@@ -16,7 +15,7 @@ from billweave.plans.gold import (
     silver_bills_table,
     silver_items_table,
 )
-from billweave.plans.registry import CUSTOMER, HOURLY, METRICS, SEGMENTS
+from billweave.plans.registry import METRICS, ROLLUPS, SEGMENTS
 from billweave.schemas import SILVER
 from billweave.sinks.parquet import append_batch, append_by_store
 from billweave.staging import shared_folder, staged, staging
@@ -164,14 +163,15 @@ def test_store_filter_selects_folders(tables):
 @pytest.mark.parametrize("name", [n for n, m in METRICS.items() if m.rollup and n in LAZY])
 def test_rollups_give_the_same_result(tables, name):
     metric = METRICS[name]
-    rollup = {HOURLY: hourly_totals, CUSTOMER: customer_totals}[metric.rollup](tables["bills"])
+    make, inputs, dated = ROLLUPS[metric.rollup]
+    rollup = make(*[tables[i] for i in inputs], **({"as_of": fixtures.AS_OF} if dated else {}))
 
-    def result(source):
-        df = metric(source, as_of=fixtures.AS_OF)
+    def result(*sources):
+        df = metric(*sources, as_of=fixtures.AS_OF)
         rounded = [F.round(c, 6).alias(c) if kind == "double" else c for c, kind in df.dtypes]
         return df.select(*rounded).toPandas()
 
-    assert differences(result(tables["bills"]), result(rollup)) == []
+    assert differences(result(*[tables[i] for i in metric.inputs]), result(rollup)) == []
 
 
 def test_run_publishes_all_metrics_and_reports_failures(spark, silver):

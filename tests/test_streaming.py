@@ -2,10 +2,8 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from billweave.plans import etl
-from billweave.schemas import BRONZE, RAW, SILVER
+from billweave.schemas import BRONZE, SILVER
 from billweave.streaming.pipelines import append_available, daily_sales, first_items, stream_bronze, stream_collection
 from tests.test_etl import at, invoice, raw_rows, rows
 

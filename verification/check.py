@@ -64,7 +64,8 @@ def main(sf_dir: str, names: list[str]) -> int:
             actual, found = pd.DataFrame(), [f"{type(error).__name__}: {str(error)[:1500]}"]
         failed = any(not text.startswith("note") for text in found)
         bad += failed
-        print(f"{'FAIL' if failed else 'ok  '} {name} {len(actual)} rows {time.perf_counter() - start:.2f}s", *found, sep="\n     " if found else " ")
+        seconds = time.perf_counter() - start
+        print(f"{'FAIL' if failed else 'ok  '} {name} {len(actual)} rows {seconds:.2f}s", *found, sep="\n     ")
     print("failed:", bad)
     return bad
 

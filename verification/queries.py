@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType
 
 from billweave.operators import bronze, silver
-from billweave.operators.incremental import incremental_load, stamped
+from billweave.operators.incremental import incremental_load
 from billweave.operators.segments import rfm_segments
 from billweave.plans.registry import BILLS, ITEMS, METRICS
 from billweave.staging import new_folder
