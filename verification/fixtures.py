@@ -19,6 +19,11 @@ EVENTS_AS_OF = dt.date(2024, 1, 30)
 RUN_TIME = dt.datetime(2001, 8, 2, 6, 30)
 ITEMS_WATERMARK = dt.datetime(2001, 7, 1)
 
+# Raw rows are delivered in two batches, cut by their load time, and loaded by two runs.
+BATCH_CUT = dt.datetime(2000, 1, 1)
+FIRST_RUN = dt.datetime(2001, 8, 2, 6, 30)
+SECOND_RUN = dt.datetime(2001, 8, 2, 6, 45)
+
 
 _schemas: dict[str, StructType] = {}
 
@@ -230,6 +235,23 @@ def raw_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+RAW_COLLECTIONS = {
+    "billRequest": raw_bill_requests,
+    "invoiceExtractedData": raw_invoices,
+    "receiptExtractedData": raw_receipts,
+    "billtransactions": raw_transactions,
+    "storeDetails": raw_stores,
+}
+
+
+def deliver(spark: SparkSession, sf_dir: str, folder: str, second: bool) -> None:
+    """Write one batch of every raw collection below ``folder``."""
+    for name, make in RAW_COLLECTIONS.items():
+        late = F.col("load_time") > F.lit(BATCH_CUT.isoformat(sep=" ")).cast("timestamp_ntz")
+        batch = make(spark, sf_dir).where(late if second else ~late)
+        batch.write.parquet(f"{folder}/{name}/data/{'second' if second else 'first'}")
+
+
 def raw_event_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return invoices_of_events(table(spark, sf_dir, "events"))
 

@@ -8,11 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType
 
+from billweave.functions.calendar import MONTH_FOLDER
 from billweave.operators import bronze, silver
 from billweave.operators.incremental import incremental_load
 from billweave.operators.segments import rfm_segments
+from billweave.plans import etl
+from billweave.plans.gold import silver_bills_table
 from billweave.plans.registry import BILLS, ITEMS, METRICS
-from billweave.staging import new_folder
+from billweave.schemas import WATERMARK
+from billweave.sinks.parquet import publish
+from billweave.sources.parquet import read_partitioned, read_union_by_name, subfolders
+from billweave.sources.watermark import advance_watermark, watermark_path
+from billweave.staging import new_folder, staged
 from billweave.streaming.pipelines import append_available, daily_sales, first_items
 from verification import fixtures
 
@@ -64,17 +71,10 @@ def _bronze(extract: Callable[[DataFrame], DataFrame], raw: Query) -> Query:
 
 def _bronze_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Bronze tables as if loaded once a day, on the midnight after the load time."""
-    raw = {
-        "billRequest": fixtures.raw_bill_requests,
-        "invoiceExtractedData": fixtures.raw_invoices,
-        "receiptExtractedData": fixtures.raw_receipts,
-        "billtransactions": fixtures.raw_transactions,
-        "storeDetails": fixtures.raw_stores,
-    }
     night = F.date_add(F.to_date("load_time"), 1).cast("timestamp_ntz")
     return {
         name: bronze.BRONZE_EXTRACTORS[name](make(spark, sf_dir)).withColumn("trans_time", night)
-        for name, make in raw.items()
+        for name, make in fixtures.RAW_COLLECTIONS.items()
     }
 
 
@@ -82,6 +82,49 @@ def _silver_bills(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.silver_bills(_bronze_inputs(spark, sf_dir), fixtures.RUN_TIME)
 
 
+def _silver_bills_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    watermarks = dict.fromkeys(silver.BILL_INPUTS, fixtures.BATCH_CUT)
+    return silver.silver_bills(_bronze_inputs(spark, sf_dir), fixtures.RUN_TIME, watermarks)
+
+
+def _silver_bills_upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries, each loaded to bronze and merged into silver bills."""
+    base = new_folder(spark, "upsert")
+    for second, run_time in ((False, fixtures.FIRST_RUN), (True, fixtures.SECOND_RUN)):
+        fixtures.deliver(spark, sf_dir, f"{base}/raw", second)
+        etl.load_all_bronze(spark, f"{base}/raw", base, run_time)
+        etl.upsert_silver_bills(spark, base, run_time)
+    return silver_bills_table(spark, base).drop(MONTH_FOLDER)
+
+
+def _watermarks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The watermarks a load of silver bills leaves behind."""
+    base = new_folder(spark, "watermarks")
+    loaded = staged(_silver_bills(spark, sf_dir), "loaded")
+    advance_watermark(loaded, base, "silver", "billRequest", "load_br", fixtures.RUN_TIME)
+    for name, (id_name, load_name) in silver.EXTRACTIONS.items():
+        advance_watermark(loaded, base, "silver", name, load_name, fixtures.RUN_TIME, known=id_name)
+    paths = [watermark_path(base, "silver", name) for name in silver.BILL_INPUTS]
+    return spark.read.schema(WATERMARK).parquet(*paths)
+
+
+def _published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily sales, published by store and read back from the folders."""
+    path = new_folder(spark, "published")
+    publish(METRICS["daily_sales_trend"](fixtures.bills(spark, sf_dir)), path)
+    return _comparable(read_partitioned(spark, path, {"storeId": "string"}))
+
+
+def _union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bills kept in two datasets: finished orders have narrow keys and lack the priority."""
+    path = new_folder(spark, "drifted")
+    orders = fixtures.table(spark, sf_dir, "orders")
+    finished = orders.where("o_orderstatus = 'F'").withColumn("o_orderkey", F.col("o_orderkey").cast("int"))
+    finished.drop("o_orderpriority").write.parquet(f"{path}/finished")
+    orders.where("o_orderstatus <> 'F'").write.parquet(f"{path}/open")
+    return read_union_by_name(spark, subfolders(spark, path))
+
+
 def _silver_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.silver_items(fixtures.items(spark, sf_dir), fixtures.RUN_TIME).select(
         "billId", "createdAt", "itemName", "itemPrice", "storeId", "load_time"
@@ -135,6 +178,11 @@ def queries() -> dict[str, Query]:
         "bronze_receipts": _bronze(bronze.bronze_receipts, fixtures.raw_receipts),
         "bronze_transactions": _bronze(bronze.bronze_transactions, fixtures.raw_transactions),
         "silver_bills_full": _silver_bills,
+        "silver_bills_incremental": _silver_bills_incremental,
+        "silver_bills_upserted": _silver_bills_upserted,
+        "silver_watermarks": _watermarks,
+        "published_daily_sales": _published,
+        "union_by_name_scan": _union_by_name,
         "silver_items_dedupe": _silver_items,
         "incremental_filter": _incremental,
         "stream_bronze_invoices": _stream_bronze,
