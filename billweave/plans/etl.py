@@ -9,6 +9,7 @@ a completed load are refused, as they would replace its rows; they load a minute
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -107,8 +108,14 @@ def load_bronze(
 def load_all_bronze(
     spark: SparkSession, raw_base: str, base: str, run_time: dt.datetime | None = None
 ) -> dict[str, dt.datetime | None]:
+    """Load every raw collection, at the same time; they do not depend on each other."""
     run_time = run_minute(run_time)
-    return {name: load_bronze(spark, raw_base, base, name, run_time) for name in BRONZE_EXTRACTORS}
+
+    def load(collection: str) -> dt.datetime | None:
+        return load_bronze(spark, raw_base, base, collection, run_time)
+
+    with ThreadPoolExecutor(len(BRONZE_EXTRACTORS)) as pool:
+        return dict(zip(BRONZE_EXTRACTORS, pool.map(load, BRONZE_EXTRACTORS)))
 
 
 def _bronze_inputs(spark: SparkSession, base: str) -> dict[str, DataFrame]:
