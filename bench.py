@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from billweave.operators.segments import rfm_segments
-from billweave.plans.gold import run_metrics
+from billweave.plans.publishing import run_metrics
 from billweave.plans.registry import BILLS, ITEMS, METRICS, SEGMENTS
 from billweave.schemas import SILVER
 from billweave.session import build_session

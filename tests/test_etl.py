@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from billweave.operators import bronze as bronze_operators
 from billweave.operators.incremental import incremental_load, is_up_to_date, max_timestamp, run_minute
 from billweave.plans import etl
-from billweave.plans.gold import silver_bills_table, silver_items_table
+from billweave.plans.publishing import silver_bills_table, silver_items_table
 from billweave.schemas import BRONZE, RAW, SILVER
 from billweave.sinks.parquet import append_batch, append_by_store, append_stamped, publish
 from billweave.sources.parquet import read_collection, read_partitioned, read_union_by_name

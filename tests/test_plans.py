@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from billweave.operators import customers, products, purchases, sales
 from billweave.operators.segments import cust_segment_count, rfm_segments
-from billweave.plans.gold import (
+from billweave.plans.publishing import (
     gold_path,
     gold_table,
     run_metrics,

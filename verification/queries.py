@@ -13,7 +13,7 @@ from billweave.operators import bronze, silver
 from billweave.operators.incremental import incremental_load
 from billweave.operators.segments import rfm_segments
 from billweave.plans import etl
-from billweave.plans.gold import silver_bills_table
+from billweave.plans.publishing import silver_bills_table
 from billweave.plans.registry import BILLS, ITEMS, METRICS
 from billweave.schemas import WATERMARK
 from billweave.sinks.parquet import publish
