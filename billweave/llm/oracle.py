@@ -91,4 +91,51 @@ SELECT q.doc_id, q.size, q.source_size, q.target, coalesce(c.taken, 0)::BIGINT A
 FROM queued q LEFT JOIN counted c USING (doc_id)
 """
 
-ORACLES = {"op3_quality_rules": OP3, "op6_mixing": OP6, "op7_line_dedup": OP7}
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def shingles(name: str, key: str, table: str) -> str:
+    """CTEs: ``name`` has the distinct five-word shingles s of each text."""
+    return rf"""
+{name}_words AS (
+  SELECT {key}, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM {table}
+), {name} AS (
+  SELECT DISTINCT {key}, array_to_string(list_slice(w, i, i + 4), ' ') AS s
+  FROM (SELECT {key}, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM {name}_words WHERE len(w) > 0)
+)"""
+
+
+OP10 = rf"""
+WITH {shingles("d", "doc_id", "documents")}, {shingles("b", "item_id", "benchmark")},
+sizes AS (SELECT item_id, count(*) AS n FROM b GROUP BY item_id),
+both_have AS (SELECT doc_id, item_id, count(*) AS shared FROM d JOIN b USING (s) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n AS item_shingles, shared AS shared_shingles, shared::DOUBLE / n AS containment
+FROM both_have JOIN sizes USING (item_id) WHERE 100 * shared >= 75 * n
+"""
+
+OP9 = rf"""
+WITH RECURSIVE {shingles("d", "doc_id", "documents")},
+sizes AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+  FROM d x JOIN d y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id
+), links AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * shared >= 75 * (x.n + y.n - shared)
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM sizes
+  UNION
+  SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other
+), least_id AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+       coalesce(component_id, doc_id) = doc_id AS kept
+FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least_id USING (doc_id)
+"""
+
+ORACLES = {
+    "op3_quality_rules": OP3,
+    "op6_mixing": OP6,
+    "op7_line_dedup": OP7,
+    "op9_near_dedup": OP9,
+    "op10_decontaminate": OP10,
+}

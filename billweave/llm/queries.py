@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billweave.llm import line_dedup, mixing, quality_rules
+from billweave.llm import decontaminate, line_dedup, mixing, near_dedup, quality_rules
 from billweave.llm.oracle import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,11 +40,21 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op3_quality_rules": op3_quality_rules,
         "op6_mixing": op6_mixing,
         "op7_line_dedup": op7_line_dedup,
+        "op9_near_dedup": op9_near_dedup,
+        "op10_decontaminate": op10_decontaminate,
     }
 
 
