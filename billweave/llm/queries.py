@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billweave.llm import decontaminate, line_dedup, mixing, near_dedup, quality_rules
+from billweave.llm import decontaminate, line_crf, line_dedup, mixing, near_dedup, quality_rules
 from billweave.llm.oracle import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_crf.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.verdicts(table(spark, sf_dir, "documents"))
     return found.select(
@@ -50,6 +54,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_line_crf": op1_line_crf,
         "op3_quality_rules": op3_quality_rules,
         "op6_mixing": op6_mixing,
         "op7_line_dedup": op7_line_dedup,
