@@ -102,3 +102,25 @@ def matches(text: Column, pattern: str) -> Column:
         ).otherwise(F.array().cast("array<struct<start:int,end:int,found:string>>")))
 
     return let(whole(text), of)
+
+
+def span_text(spans: Column, kinds: tuple[str, ...]) -> Column:
+    """Structs (start, kind, end), kind a number, as "name:start:end" by start and kind."""
+    names = F.array(*map(F.lit, kinds))
+    shown = F.transform(
+        F.sort_array(spans),
+        lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string")),
+    )
+    return F.array_join(shown, ",")
+
+
+def overlaps(span: Column, others: Column) -> Column:
+    return F.exists(others, lambda o: (o["start"] < span["end"]) & (span["start"] < o["end"]))
+
+
+def of_kind(found: Column, kind: int, valid: Callable[[Column], Column]) -> Column:
+    """Matches whose text is valid, as (start, kind, end)."""
+    return F.transform(
+        F.filter(found, lambda m: valid(m["found"])),
+        lambda m: F.struct(m["start"].alias("start"), F.lit(kind).alias("kind"), m["end"].alias("end")),
+    )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billweave.llm import decontaminate, line_crf, line_dedup, mixing, near_dedup, quality_rules
+from billweave.llm import decontaminate, line_crf, line_dedup, mixing, near_dedup, quality_rules, secrets
 from billweave.llm.oracle import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.secret_spans(table(spark, sf_dir, "documents")))
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ def queries() -> dict[str, Query]:
         "op3_quality_rules": op3_quality_rules,
         "op6_mixing": op6_mixing,
         "op7_line_dedup": op7_line_dedup,
+        "op8_secret_scan": op8_secret_scan,
         "op9_near_dedup": op9_near_dedup,
         "op10_decontaminate": op10_decontaminate,
     }
