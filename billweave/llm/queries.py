@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billweave.llm import decontaminate, line_crf, line_dedup, mixing, near_dedup, quality_rules, secrets
+from billweave.llm import decontaminate, line_crf, line_dedup, mixing, near_dedup, pii, quality_rules, secrets
 from billweave.llm.oracle import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op1_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_crf.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.personal_spans(table(spark, sf_dir, "documents")))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.verdicts(table(spark, sf_dir, "documents"))
     return found.select(
@@ -59,6 +63,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_line_crf": op1_line_crf,
+        "op2_pii": op2_pii,
         "op3_quality_rules": op3_quality_rules,
         "op6_mixing": op6_mixing,
         "op7_line_dedup": op7_line_dedup,
