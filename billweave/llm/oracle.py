@@ -132,8 +132,56 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS c
 FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least_id USING (doc_id)
 """
 
+
+
+def _tree(name: str, levels: int = 4) -> str:
+    """CTEs: ``name``_0 to ``name``_4 are the nodes of the tree over the records ``name``."""
+    parts = [f"""{name}_0 AS (
+  SELECT file, ("offset" // 65536)::BIGINT AS node,
+         sha256(string_agg("offset" || ':' || length || ':' || digest, ',' ORDER BY "offset")) AS hash
+  FROM {name} GROUP BY 1, 2)"""]
+    for level in range(1, levels + 1):
+        parts.append(f"""{name}_{level} AS (
+  SELECT file, n AS node, sha256(string_agg(node || ':' || hash, ',' ORDER BY node)) AS hash
+  FROM (SELECT *, node // 16 AS n FROM {name}_{level - 1}) GROUP BY file, n)""")
+    return ", ".join(parts)
+
+
+OP5 = rf"""
+WITH made AS (
+  SELECT page_id, coalesce(url, '') AS url,
+         'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Target-URI: '
+         || coalesce(url, '') || chr(13) || chr(10) || 'WARC-Record-ID: <urn:page:' || coalesce(page_id::VARCHAR, '')
+         || '>' || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10)
+         || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10) AS record
+  FROM pages
+), hashed AS (
+  SELECT page_id, url, strlen(record) AS length, sha256(record) AS digest FROM made
+), filed AS (
+  SELECT *, coalesce('pages-' || floor(page_id / 256)::BIGINT, 'pages-x' || substr(digest, 1, 3)) AS file FROM hashed
+), a AS (
+  SELECT file, length, digest, coalesce(sum(length) OVER (
+           PARTITION BY file ORDER BY page_id, url, digest ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING
+         ), 0)::BIGINT AS "offset" FROM filed
+), b AS (
+  SELECT file, length, "offset",
+         CASE WHEN substr(digest, 1, 2) IN ('00', '01', '02', '03') THEN sha256('damaged ' || digest) ELSE digest END AS digest
+  FROM a WHERE NOT starts_with(digest, 'ff')
+), {_tree("a")}, {_tree("b")}, damage AS (
+  SELECT file, count(b.digest) AS n_changed, count(*) - count(b.digest) AS n_missing,
+         string_agg("offset"::VARCHAR, ',' ORDER BY "offset") AS offsets
+  FROM a LEFT JOIN b USING (file, "offset") WHERE a.digest IS DISTINCT FROM b.digest GROUP BY file
+), files AS (
+  SELECT file, count(*) AS n_records, sum(length)::BIGINT AS n_bytes FROM a GROUP BY file
+)
+SELECT file, n_records, n_bytes, a_4.hash AS primary_root, b_4.hash AS replica_root,
+       coalesce(n_changed, 0) AS n_changed, coalesce(n_missing, 0) AS n_missing, coalesce(offsets, '') AS offsets
+FROM files JOIN a_4 USING (file) LEFT JOIN b_4 USING (file) LEFT JOIN damage USING (file)
+"""
+
 ORACLES = {
     "op3_quality_rules": OP3,
+    "op5_warc_audit": OP5,
     "op6_mixing": OP6,
     "op7_line_dedup": OP7,
     "op9_near_dedup": OP9,

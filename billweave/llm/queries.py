@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billweave.llm import decontaminate, line_crf, line_dedup, mixing, near_dedup, pii, quality_rules, secrets
+from billweave.llm import decontaminate, line_crf, line_dedup, mixing, near_dedup, pii, quality_rules, secrets, warc_audit
 from billweave.llm.oracle import ORACLES
+from billweave.staging import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +33,34 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _damaged(records: DataFrame) -> DataFrame:
+    """A replica with bad records: by their digests one in 64 changed, one in 256 lost."""
+    lost, changed = F.col("digest").startswith("ff"), F.substring("digest", 1, 2).isin("00", "01", "02", "03")
+    worse = F.sha2(F.concat(F.lit("damaged "), "digest").cast("binary"), 256)
+    return records.where(~lost).withColumn("digest", F.when(changed, worse).otherwise(F.col("digest")))
+
+
+def op5_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC files and a damaged replica: per file its roots and the damage."""
+    primary = staged(warc_audit.warc_layout(table(spark, sf_dir, "pages")), "warc-primary")
+    replica = staged(_damaged(primary), "warc-replica")
+    trees = warc_audit.merkle_tree(primary), warc_audit.merkle_tree(replica)
+    found = warc_audit.audit(primary, replica, trees).groupBy("file").agg(
+        F.count_if(F.col("status") == "changed").alias("n_changed"),
+        F.count_if(F.col("status") == "missing").alias("n_missing"),
+        F.array_join(F.sort_array(F.collect_list("offset")).cast("array<string>"), ",").alias("offsets"),
+    )
+    files = primary.groupBy("file").agg(F.count(F.lit(1)).alias("n_records"), F.sum("length").alias("n_bytes"))
+    root = lambda tree, name: tree[-1].select("file", F.col("hash").alias(name))
+    return (
+        files.join(root(trees[0], "primary_root"), "file")
+        .join(root(trees[1], "replica_root"), "file", "left")
+        .join(found, "file", "left")
+        .na.fill(0, ["n_changed", "n_missing"])
+        .na.fill("", ["offsets"])
+    )
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.mixed(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "size", "source_size", "target", "taken")
@@ -65,6 +94,7 @@ def queries() -> dict[str, Query]:
         "op1_line_crf": op1_line_crf,
         "op2_pii": op2_pii,
         "op3_quality_rules": op3_quality_rules,
+        "op5_warc_audit": op5_warc_audit,
         "op6_mixing": op6_mixing,
         "op7_line_dedup": op7_line_dedup,
         "op8_secret_scan": op8_secret_scan,
