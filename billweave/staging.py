@@ -37,6 +37,11 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{_area.get() or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextlib.contextmanager
 def staging(spark: SparkSession) -> Iterator[None]:
     """Remove at the end what is staged inside the block."""
@@ -46,8 +51,7 @@ def staging(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _area.reset(token)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        remove_folder(spark, folder)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
