@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billweave.llm import decontaminate, line_crf, line_dedup, mixing, near_dedup, pii, quality_rules, secrets, warc_audit
+from billweave.llm import decontaminate, line_crf, line_dedup, mixing, near_dedup, pii, quality_rules, secrets, suffix_index, warc_audit
 from billweave.llm.oracle import ORACLES
 from billweave.staging import staged
 
@@ -33,6 +33,13 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_index.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2(F.col("kept"), 256).alias("kept_sha256")
+    )
+
+
 def _damaged(records: DataFrame) -> DataFrame:
     """A replica with bad records: by their digests one in 64 changed, one in 256 lost."""
     lost, changed = F.col("digest").startswith("ff"), F.substring("digest", 1, 2).isin("00", "01", "02", "03")
@@ -94,6 +101,7 @@ def queries() -> dict[str, Query]:
         "op1_line_crf": op1_line_crf,
         "op2_pii": op2_pii,
         "op3_quality_rules": op3_quality_rules,
+        "op4_suffix_dedup": op4_suffix_dedup,
         "op5_warc_audit": op5_warc_audit,
         "op6_mixing": op6_mixing,
         "op7_line_dedup": op7_line_dedup,

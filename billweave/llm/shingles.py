@@ -50,6 +50,12 @@ def range_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
+def window_ranks(sums: np.ndarray, width: int) -> np.ndarray:
+    """A number for every window of ``width`` bytes, equal for equal bytes, in no order."""
+    down = _power("down", pow(_FACTOR, -1, 1 << 64), len(sums) - width)
+    return (sums[width:] - sums[:-width]) * down * np.uint64(0xD6E8FEB86659FD93)
+
+
 def sequence(text: bytes | None) -> np.ndarray:
     """Hashes of all five-word shingles in the order of the text, A-Z lower-cased.
 
