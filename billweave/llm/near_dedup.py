@@ -206,4 +206,4 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
 def distinct_documents(docs: DataFrame, percent: int = 75) -> DataFrame:
     """The rows of ``docs`` whose document is kept; columns unchanged."""
     gone = near_duplicates(docs, percent).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")

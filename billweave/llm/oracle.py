@@ -35,7 +35,7 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM m
 """
 
-OP7 = r"""
+_LINES = r"""
 WITH split AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
          generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
@@ -46,14 +46,16 @@ WITH split AS (
   FROM split
 ), common AS (
   SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+), kept AS (
+  SELECT doc_id, count(*) AS n_lines, count(common.key) AS n_dropped,
+         coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (common.key IS NULL), '') AS text
+  FROM keyed LEFT JOIN common USING (key) GROUP BY doc_id
 )
-SELECT doc_id, count(*) AS n_lines, count(common.key) AS n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (common.key IS NULL), '')) AS kept_sha256
-FROM keyed LEFT JOIN common USING (key) GROUP BY doc_id
 """
+OP7 = _LINES + "SELECT doc_id, n_lines, n_dropped, sha256(text) AS kept_sha256 FROM kept"
 
 # With sources sorted by stop per weight, the level at which the words run out.
-OP6 = rf"""
+_MIX = rf"""
 WITH sized AS (
   SELECT doc_id, source, len({WORDS})::BIGINT AS size,
          md5(coalesce(doc_id::VARCHAR, '') || '|' || coalesce(text, '')) AS key
@@ -85,9 +87,12 @@ WITH sized AS (
 ), merged AS (
   SELECT doc_id, size, sum(size) OVER (ORDER BY finish, rank, turn, key ROWS UNBOUNDED PRECEDING) AS words FROM entries
 ), counted AS (
-  SELECT doc_id, sum(size) AS taken FROM merged WHERE words <= (SELECT sum(size) FROM sized) GROUP BY doc_id
+  SELECT doc_id, count(*)::INT AS copies, sum(size)::BIGINT AS taken
+  FROM merged WHERE words <= (SELECT sum(size) FROM sized) GROUP BY doc_id
 )
-SELECT q.doc_id, q.size, q.source_size, q.target, coalesce(c.taken, 0)::BIGINT AS taken
+"""
+OP6 = _MIX + """
+SELECT q.doc_id, q.size, q.source_size, q.target, coalesce(c.taken, 0) AS taken
 FROM queued q LEFT JOIN counted c USING (doc_id)
 """
 
@@ -179,6 +184,28 @@ SELECT file, n_records, n_bytes, a_4.hash AS primary_root, b_4.hash AS replica_r
 FROM files JOIN a_4 USING (file) LEFT JOIN b_4 USING (file) LEFT JOIN damage USING (file)
 """
 
+
+
+def _over(sql: str, documents: str) -> str:
+    return "(" + sql.replace("FROM documents", f"FROM {documents}") + ")"
+
+
+PIPELINE = f"""
+WITH passing AS MATERIALIZED (
+  SELECT d.* FROM documents d JOIN {_over(OP3, "documents")} v USING (doc_id) WHERE v.kept
+), lined AS MATERIALIZED (
+  SELECT doc_id, CASE WHEN n_dropped = 0 THEN d.text ELSE k.text END AS text, source
+  FROM passing d JOIN {_over(_LINES + "SELECT * FROM kept", "passing")} k USING (doc_id)
+), apart AS MATERIALIZED (
+  SELECT d.* FROM lined d JOIN {_over(OP9, "lined")} v USING (doc_id) WHERE v.kept
+), clean AS MATERIALIZED (
+  SELECT * FROM apart WHERE doc_id NOT IN (SELECT doc_id FROM {_over(OP10, "apart")})
+)
+SELECT * FROM {_over(_MIX + """
+  SELECT q.doc_id, q.source, q.size, q.source_size, q.target, c.copies, c.taken
+  FROM queued q JOIN counted c USING (doc_id)""", "clean")}
+"""
+
 ORACLES = {
     "op3_quality_rules": OP3,
     "op5_warc_audit": OP5,
