@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from billweave.llm import line_dedup, mixing, quality_rules
+from billweave.llm import decontaminate, line_dedup, mixing, near_dedup, quality_rules
+from billweave.llm.oracle import PIPELINE
 from billweave.staging import staged
 
 
@@ -22,6 +23,16 @@ def common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return line_dedup.without_common_lines(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return near_dedup.distinct_documents(docs)
+
+
+def benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no item of the benchmark."""
+    return decontaminate.clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents the mix takes, and how often."""
     return mixing.mixed(docs).where("copies > 0")
@@ -30,10 +41,12 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality rules", rules),
     ("line dedup", common_lines),
+    ("near dedup", near_copies),
+    ("decontamination", benchmark_items),
     ("mixing", mix),
 ]
 
-ORACLE_SQL = None
+ORACLE_SQL = PIPELINE
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
