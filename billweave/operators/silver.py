@@ -59,7 +59,7 @@ def _best_extraction(extraction: DataFrame, id_name: str, load_name: str) -> Dat
     )
 
 
-def _current_stores(stores: DataFrame) -> DataFrame:
+def current_stores(stores: DataFrame) -> DataFrame:
     """Stores are loaded again and again; the newest description counts."""
     order = [F.col("trans_time").desc_nulls_last(), F.col("load_time").desc_nulls_last(), F.col("storeName").asc_nulls_last()]
     rows = stores.where(F.col("storeId").isNotNull()).select("storeId", "storeName", "trans_time", "load_time")
@@ -76,7 +76,7 @@ def _assembled(bronze: Mapping[str, DataFrame], stores: DataFrame) -> DataFrame:
     for name, (id_name, load_name) in EXTRACTIONS.items():
         joined = joined.join(_best_extraction(bronze[name], id_name, load_name), "billId", "left")
     amounts = [F.col(f"{id_name}_amount") for id_name, _ in EXTRACTIONS.values()]
-    return joined.withColumn("billAmount", F.coalesce(*amounts)).join(_current_stores(stores), "storeId", "left")
+    return joined.withColumn("billAmount", F.coalesce(*amounts)).join(current_stores(stores), "storeId", "left")
 
 
 def silver_bills(
@@ -86,16 +86,12 @@ def silver_bills(
 ) -> DataFrame:
     """Bills with their amount, lineage and store; one row per bill.
 
-    ``bronze`` maps collection names to bronze tables. With ``watermarks`` for all four
-    bill inputs only the rows after them take part, on both sides of the joins, so an
-    extraction finds its bill only in the load that brings both. If one is missing,
-    everything is loaded.
+    ``bronze`` maps collection names to bronze tables. Of an input with a watermark only the
+    rows after it take part, on both sides of the joins, so an extraction finds its bill
+    only in the load that brings both. An input without one takes part with all its rows.
     """
     watermarks = watermarks or {}
-    if all(watermarks.get(name) is not None for name in BILL_INPUTS):
-        inputs = {n: incremental_load(bronze[n], "trans_time", watermarks[n]) for n in BILL_INPUTS}
-    else:
-        inputs = bronze
+    inputs = {n: incremental_load(bronze[n], "trans_time", watermarks.get(n)) for n in BILL_INPUTS}
     bills = _assembled(inputs, bronze["storeDetails"])
     return stamped(bills, "load_time", run_time).select(*SILVER["all_bills"].names)
 

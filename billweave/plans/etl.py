@@ -9,10 +9,13 @@ a completed load are refused, as they would replace its rows; they load a minute
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from billweave.functions.calendar import MONTH_FOLDER, month_folder
 from billweave.operators.bronze import BRONZE_EXTRACTORS
@@ -22,41 +25,42 @@ from billweave.operators.silver import (
     EXTRACTIONS,
     affected_bills,
     bills_to_write,
+    current_stores,
     refreshed_bills,
     silver_bills,
     silver_items,
 )
 from billweave.schemas import BRONZE, RAW, SILVER
-from billweave.sinks.parquet import append_batch, append_by_store, append_stamped, replace_partitions
+from billweave.sinks.parquet import BATCH_FORMAT, append_batch, append_stamped, replace_partitions
 from billweave.sources.parquet import (
+    data_files,
     read_by_month,
     read_collection,
     read_partitioned,
     read_union_by_name,
-    subfolders,
 )
-from billweave.sources.watermark import advance_watermark, last_run, read_watermark, write_watermark
+from billweave.sources.watermark import advance_watermark, files_read_until, last_run, read_watermark
 from billweave.staging import staged, staging
 
 # Collections kept in batch folders; the others are partitioned by their run time.
 _IN_BATCHES = {"storeDetails"}
 
-# Folder values that are listed in a filter.
-_FOLDER_LIST = 1000
-
-# Raw collections whose files differ in their columns, one batch folder to the next.
-_DRIFTED = {"billtransactions"}
-
 
 def data_path(base: str, layer: str, collection: str) -> str:
     return f"{base}/{layer}/{collection}/data"
 
 
-def raw_table(spark: SparkSession, base: str, collection: str) -> DataFrame:
-    path = f"{base}/{collection}/data"
-    if collection in _DRIFTED:
-        return read_union_by_name(spark, subfolders(spark, path))
-    return read_collection(spark, path, RAW[collection])
+def new_source_rows(
+    spark: SparkSession, path: str, declared: StructType, since: dt.datetime | None
+) -> tuple[DataFrame, dt.datetime | None]:
+    """Rows of the files written at or after ``since``, and when the newest was written.
+
+    Files may differ in their columns. A file that has been read before and is as old as
+    ``since`` comes again; the watermark on its rows leaves it out.
+    """
+    files = data_files(spark, path, since)
+    rows = read_union_by_name(spark, [f.path for f in files], declared)
+    return rows, max((f.modified for f in files), default=since)
 
 
 def bronze_table(spark: SparkSession, base: str, collection: str) -> DataFrame:
@@ -88,21 +92,40 @@ def load_bronze(
 ) -> dt.datetime | None:
     """Bring the new rows of one raw collection to bronze; returns the new watermark."""
     run_time = run_minute(run_time)
-    raw = raw_table(spark, raw_base, collection)
+    since = files_read_until(spark, base, "bronze", collection)
+    raw, files_until = new_source_rows(spark, f"{raw_base}/{collection}/data", RAW[collection], since)
     watermark = read_watermark(spark, base, "bronze", collection)
     if skip_if_up_to_date and is_up_to_date(raw, watermark):
         return None
     new = incremental_load(raw, "load_time", watermark)
     if not _may_run(spark, base, "bronze", collection, run_time, new):
         return None
+    return write_bronze(new, base, collection, run_time, files_until=files_until)
+
+
+def write_bronze(
+    new: DataFrame,
+    base: str,
+    collection: str,
+    run_time: dt.datetime,
+    name: str | None = None,
+    files_until: dt.datetime | None = None,
+) -> dt.datetime | None:
+    """Write new raw rows to bronze under a stamp and move the watermark; a rerun replaces them.
+
+    ``name`` is that of the batch folder, where a collection has such.
+    """
+    spark = new.sparkSession
     batch = stamped(BRONZE_EXTRACTORS[collection](new), "trans_time", run_time)
     path = data_path(base, "bronze", collection)
     if collection in _IN_BATCHES:
-        append_batch(batch, path, run_time)
+        append_batch(batch, path, run_time, name=name)
     else:
         append_stamped(batch, path)
     written = bronze_table(spark, base, collection).where(F.col("trans_time") == moment(run_time))
-    return advance_watermark(written, base, "bronze", collection, "load_time", run_time)
+    return advance_watermark(
+        written, base, "bronze", collection, "load_time", run_time, files_until=files_until
+    )
 
 
 def load_all_bronze(
@@ -131,10 +154,12 @@ def append_silver_bills(
 ) -> int:
     """Add the bills that are new since the watermarks; returns how many there were.
 
-    The watermark of the requests moves with all of them, also those without a store,
-    which are not written; those of the extractions move with the ones that found a
-    bill. An extraction that comes in a later load than its bill is not attached, and
-    copies are removed inside one load only; ``upsert_silver_bills`` does better.
+    The watermark of the requests moves with all of them, also with copies and with those
+    without a store, which are not written; those of the extractions move with the ones
+    that found a bill. An extraction that comes in a later load than its bill is not
+    attached, and copies are removed inside one load only; ``upsert_silver_bills`` does
+    better. Both keep one layout, so either may follow the other. The months a batch falls
+    in are rewritten with it, so files do not add up, and a rerun replaces its batch.
     """
     run_time = run_minute(run_time)
     bronze, watermarks = _bronze_inputs(spark, base), _bill_watermarks(spark, base)
@@ -145,8 +170,10 @@ def append_silver_bills(
         return 0
     with staging(spark):
         batch = staged(silver_bills(bronze, run_time, watermarks), "silver-bills")
-        append_by_store(batch, data_path(base, "silver", "all_bills"), run_time)
-        advance_watermark(batch, base, "silver", "billRequest", "load_br", run_time)
+        fresh = bills_to_write(batch).withColumn(MONTH_FOLDER, month_folder())
+        other_batch = lambda old: old.where(~F.col("load_time").eqNullSafe(moment(run_time)))
+        _write_into_months(spark, base, fresh, other_batch)
+        advance_watermark(requests, base, "silver", "billRequest", "trans_time", run_time)
         for name, (id_name, load_name) in EXTRACTIONS.items():
             advance_watermark(batch, base, "silver", name, load_name, run_time, known=id_name)
         return batch.count()
@@ -158,69 +185,106 @@ def upsert_silver_bills(spark: SparkSession, base: str, run_time: dt.datetime |
     Bills that any new bronze row belongs to are assembled anew and replace their old
     rows. The table is kept by store and month of the bill, and only the months that
     change are rewritten; as a bill keeps its first request, it never leaves its month.
+    A store whose name is new or has changed reaches its old bills, too.
     The merged rows are staged before any folder is replaced, so a repeated run gives
     the same table. Returns whether anything changed.
     """
     run_time = run_minute(run_time)
     bronze, watermarks = _bronze_inputs(spark, base), _bill_watermarks(spark, base)
-    if not _may_run(spark, base, "silver", "billRequest", run_time, affected_bills(bronze, watermarks)):
-        return False
-    path = data_path(base, "silver", "all_bills")
+    watermarks["storeDetails"] = read_watermark(spark, base, "silver", "storeDetails")
     with staging(spark):
-        changed = _write_merged(spark, bronze, watermarks, path, run_time)
-    for name in BILL_INPUTS:
+        ids = staged(_bills_to_refresh(spark, base, bronze, watermarks), "affected-bills")
+        if not _may_run(spark, base, "silver", "billRequest", run_time, ids):
+            return False
+        changed = _write_merged(spark, base, bronze, ids, watermarks, run_time)
+    for name in (*BILL_INPUTS, "storeDetails"):
         new = incremental_load(bronze[name], "trans_time", watermarks[name])
         advance_watermark(new, base, "silver", name, "trans_time", run_time)
     return changed
 
 
+def _silver_bills_kept(spark: SparkSession, base: str) -> DataFrame | None:
+    """Silver bills with their month folder, or ``None`` before the first load."""
+    try:
+        path = data_path(base, "silver", "all_bills")
+        return read_by_month(spark, path, {"storeId": "string"}, SILVER["all_bills"])
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def _bills_to_refresh(
+    spark: SparkSession, base: str, bronze: dict[str, DataFrame], watermarks: dict[str, dt.datetime | None]
+) -> DataFrame:
+    """Bills with new bronze rows, and old bills of stores whose name is new or has changed."""
+    ids = affected_bills(bronze, watermarks)
+    old = _silver_bills_kept(spark, base)
+    if old is None:
+        return ids
+    loaded = incremental_load(bronze["storeDetails"], "trans_time", watermarks["storeDetails"])
+    names = current_stores(bronze["storeDetails"]).join(loaded.select("storeId").distinct(), "storeId", "left_semi")
+    renamed = (
+        old.select("billId", "storeId", "storeName")
+        .join(names.withColumnRenamed("storeName", "newName"), "storeId")
+        .where(~F.col("storeName").eqNullSafe(F.col("newName")))
+    )
+    return ids.union(renamed.select("billId")).distinct()
+
+
 def _write_merged(
     spark: SparkSession,
+    base: str,
     bronze: dict[str, DataFrame],
+    ids: DataFrame,
     watermarks: dict[str, dt.datetime | None],
-    path: str,
     run_time: dt.datetime,
 ) -> bool:
-    first_load = all(mark is None for mark in watermarks.values())
-    if first_load:
+    if all(mark is None for mark in watermarks.values()):
         fresh = silver_bills(bronze, run_time)
     else:
-        ids = staged(affected_bills(bronze, watermarks), "affected-bills")
         fresh = refreshed_bills(bronze, ids, run_time)
     fresh = staged(bills_to_write(fresh).withColumn(MONTH_FOLDER, month_folder()), "fresh-bills")
     if fresh.isEmpty():
         return False
-    result = fresh if first_load else staged(_merged(spark, path, fresh), "merged-bills")
-    replace_partitions(result, path, ["storeId", MONTH_FOLDER])
+    replaced = fresh.select("billId")
+    _write_into_months(spark, base, fresh, lambda old: old.join(replaced, "billId", "left_anti"))
     return True
 
 
-def _merged(spark: SparkSession, path: str, fresh: DataFrame) -> DataFrame:
-    """All rows of the store months that ``fresh`` touches, with its bills replaced."""
-    key = ["storeId", MONTH_FOLDER]
-    touched = fresh.select(*key).distinct()
-    old = read_by_month(spark, path, {"storeId": "string"}, SILVER["all_bills"])
-    # Short lists select the folders to read. Without them the join alone does the work.
-    for column in key:
-        values = [row[0] for row in touched.select(column).distinct().limit(_FOLDER_LIST + 1).collect()]
-        if len(values) <= _FOLDER_LIST:
-            old = old.where(F.col(column).isin(values))
-    kept = (
-        old.join(touched, key, "left_semi")
-        .join(fresh.select("billId"), "billId", "left_anti")
-    )
-    return kept.unionByName(fresh)
+def _write_into_months(
+    spark: SparkSession, base: str, fresh: DataFrame, kept: Callable[[DataFrame], DataFrame]
+) -> None:
+    """Rewrite the store months of ``fresh`` with its rows and what is kept of the old ones.
+
+    The months' range selects folders at once; the join with the touched store months,
+    which have a known size, lets the planner select the others while it runs.
+    """
+    key, old = ["storeId", MONTH_FOLDER], _silver_bills_kept(spark, base)
+    if old is not None:
+        touched = staged(fresh.select(*key).distinct(), "touched-months")
+        first, last = touched.agg(F.min(MONTH_FOLDER), F.max(MONTH_FOLDER)).first()
+        if first is None:
+            return
+        months = F.col(MONTH_FOLDER).between(first, last)
+        inside = old.where(months).join(touched.where(months), key, "left_semi")
+        fresh = staged(kept(inside).unionByName(fresh), "merged-bills")
+    replace_partitions(fresh, data_path(base, "silver", "all_bills"), key)
 
 
 def load_silver_items(
     spark: SparkSession, base: str, run_time: dt.datetime | None = None, skip_if_up_to_date: bool = False
 ) -> int:
-    """Add the item lines that are new since the watermark, which then is the run time.
+    """Add the item lines that are new since the watermark: the newest load time seen.
 
-    Call it once per environment, each with its own base folder. Returns the row count.
+    A watermark at the time of the run would lose lines that arrive later with an earlier
+    load time. Columns beyond the declared ones are kept, files may differ in theirs. Call
+    it once per environment, each with its own base folder. Returns the row count.
     """
     run_time = run_minute(run_time)
-    source = read_collection(spark, data_path(base, "bronze", "items-bronze"), BRONZE["items-bronze"])
+    since = files_read_until(spark, base, "silver", "all_items")
+    path = data_path(base, "bronze", "items-bronze")
+    source, files_until = new_source_rows(spark, path, BRONZE["items-bronze"], since)
     watermark = read_watermark(spark, base, "silver", "all_items")
     if skip_if_up_to_date and is_up_to_date(source, watermark):
         return 0
@@ -231,11 +295,13 @@ def load_silver_items(
     append_batch(silver_items(source, run_time, watermark), path, run_time, by_month=True)
     rows = silver_items_batch(spark, base, run_time).count()
     if rows:
-        write_watermark(spark, base, "silver", "all_items", run_time, run_time)
+        advance_watermark(new, base, "silver", "all_items", "load_time", run_time, files_until=files_until)
     return rows
 
 
 def silver_items_batch(spark: SparkSession, base: str, run_time: dt.datetime) -> DataFrame:
-    """The item lines that the load of ``run_time`` has written."""
-    items = read_collection(spark, data_path(base, "silver", "all_items"), SILVER["all_items"])
-    return items.where(F.col("load_time") == moment(run_time))
+    """The item lines that the load of ``run_time`` has written, from its folders only."""
+    fields = StructType([*SILVER["all_items"].fields, StructField("batch", StringType())])
+    path, types = data_path(base, "silver", "all_items"), {"batch": "string", MONTH_FOLDER: "string"}
+    rows = read_partitioned(spark, path, types, StructType([*fields.fields, StructField(MONTH_FOLDER, StringType())]))
+    return rows.where(F.col("batch") == run_time.strftime(BATCH_FORMAT)).select(*SILVER["all_items"].names)

@@ -6,10 +6,11 @@ import contextvars
 import logging
 import threading
 from collections.abc import Iterable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from billweave.functions.calendar import AsOf
 from billweave.plans.registry import BILLS, ITEMS, METRICS, ROLLUPS, SEGMENTS, Metric
@@ -52,8 +53,8 @@ class _Tables:
         self._spark, self._base, self._as_of = spark, base, as_of
         uses = [m.rollup for m in chosen.values()]
         self._shared = {r for r in ROLLUPS if uses.count(r) > 1}
-        self._opened: dict[str, DataFrame] = {}
-        self._lock = threading.RLock()
+        self._opened: dict[str, Future[DataFrame]] = {}
+        self._lock = threading.Lock()
 
     def _open(self, name: str) -> DataFrame:
         if name == BILLS:
@@ -61,16 +62,26 @@ class _Tables:
         if name == ITEMS:
             return silver_items_table(self._spark, self._base)
         if name == SEGMENTS:
-            return gold_table(self._spark, self._base, "rfm_segments")
+            metric = METRICS["rfm_segments"]
+            return staged(metric(*self.inputs(metric), as_of=self._as_of), "segments")
         make, inputs, dated = ROLLUPS[name]
         day = {"as_of": self._as_of} if dated else {}
         return staged(make(*[self[table] for table in inputs], **day), f"rollup-{name}")
 
     def __getitem__(self, name: str) -> DataFrame:
+        """The table; who asks first makes it, others wait for this table only.
+
+        If it cannot be made, all who ask get the error.
+        """
         with self._lock:
-            if name not in self._opened:
-                self._opened[name] = self._open(name)
-            return self._opened[name]
+            mine = name not in self._opened
+            future = self._opened.setdefault(name, Future())
+        if mine:
+            try:
+                future.set_result(self._open(name))
+            except Exception as error:  # noqa: BLE001 - raised again by result()
+                future.set_exception(error)
+        return future.result()
 
     def inputs(self, metric: Metric) -> list[DataFrame]:
         if metric.rollup in self._shared:
@@ -89,27 +100,27 @@ def run_metrics(
 
     Metrics that read the same rollup share one computation of it, and up to
     ``parallel`` of them are published at a time, so short stages do not leave the
-    cluster idle. Metrics of the published segments follow the others. A metric that
-    fails is reported with its error and the others go on.
+    cluster idle. Segments are computed once in a run, for its day, and are published and
+    counted from there; if they fail, what needs them fails, too. A metric that fails is
+    reported with its error and the others go on. Without ``as_of`` the day on which the
+    run starts holds for all of it.
     """
+    if as_of is None:
+        as_of = spark.range(1).select(F.current_date()).first()[0]
     chosen = METRICS if names is None else {name: METRICS[name] for name in names}
     tables = _Tables(spark, base, chosen, as_of)
 
     def run(name: str) -> Outcome:
         metric, path = chosen[name], gold_path(base, name)
         try:
-            result = metric(*tables.inputs(metric), as_of=as_of)
+            result = tables[SEGMENTS] if name == "rfm_segments" else metric(*tables.inputs(metric), as_of=as_of)
             publish(result, path, metric.partition_by, metric.order, spread=not metric.by_store)
         except Exception as error:  # noqa: BLE001 - reported, the other metrics go on
             log.exception("metric %s failed", name)
             return Outcome(name, path, error)
         return Outcome(name, path)
 
-    done = {}
     with staging(spark), ThreadPoolExecutor(parallel) as pool:
-        for after_segments in (False, True):
-            wave = [name for name, m in chosen.items() if (SEGMENTS in m.inputs) == after_segments]
-            # Each thread gets the staging area through a copy of the context.
-            running = {name: pool.submit(contextvars.copy_context().run, run, name) for name in wave}
-            done |= {name: outcome.result() for name, outcome in running.items()}
-    return [done[name] for name in chosen]
+        # Each thread gets the staging area through a copy of the context.
+        running = [pool.submit(contextvars.copy_context().run, run, name) for name in chosen]
+        return [outcome.result() for outcome in running]

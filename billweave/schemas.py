@@ -15,6 +15,7 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
+# Fixed values below: names and types of the collections' columns.
 _TYPES = {
     "string": StringType(),
     "double": DoubleType(),
@@ -96,4 +97,6 @@ SILVER = {
     "all_items": BRONZE["items-bronze"],
 }
 
-WATERMARK = _schema("collection string, watermark timestamp_ntz, run_time timestamp_ntz")
+WATERMARK = _schema(
+    "collection string, watermark timestamp_ntz, run_time timestamp_ntz, files_until timestamp_ntz"
+)

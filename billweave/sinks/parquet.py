@@ -54,12 +54,15 @@ def _batch(run_time: dt.datetime) -> Column:
     return F.lit(run_time.strftime(BATCH_FORMAT))
 
 
-def append_batch(df: DataFrame, path: str, run_time: dt.datetime, by_month: bool = False) -> None:
+def append_batch(
+    df: DataFrame, path: str, run_time: dt.datetime, by_month: bool = False, name: str | None = None
+) -> None:
     """Add a batch named after its minute; writing the same minute again replaces it.
 
-    With ``by_month`` the batch lies in the folders of the months of ``createdAt``.
+    With ``by_month`` the batch lies in the folders of the months of ``createdAt``. A
+    ``name`` takes the place of the minute.
     """
-    batch = df.withColumn("batch", _batch(run_time))
+    batch = df.withColumn("batch", F.lit(name) if name else _batch(run_time))
     if by_month:
         _replace_partitions(batch.withColumn(MONTH_FOLDER, month_folder()), path, [MONTH_FOLDER, "batch"])
     else:
@@ -71,16 +74,6 @@ def append_stamped(df: DataFrame, path: str, stamp: str = "trans_time") -> None:
     _replace_partitions(df, path, [stamp], spread=False)
 
 
-def append_by_store(df: DataFrame, path: str, run_time: dt.datetime) -> None:
-    """Add a batch to its stores and months; rows without a store are left out.
-
-    The rows lie in a folder of the batch, so a rerun replaces them.
-    """
-    known = df.where(F.col("storeId").isNotNull())
-    batch = known.withColumn(MONTH_FOLDER, month_folder()).withColumn("batch", _batch(run_time))
-    _replace_partitions(batch, path, ["storeId", MONTH_FOLDER, "batch"])
-
-
 def replace_partitions(df: DataFrame, path: str, columns: Sequence[str]) -> None:
     """Replace exactly the partitions that occur in ``df``."""
     _replace_partitions(df, path, columns)

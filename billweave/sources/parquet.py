@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import functools
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import NumericType, StringType, StructField, StructType
 
 from billweave.functions.calendar import MONTH_FOLDER
 
-_SCHEMA_READERS = 16
+_FOOTER_READERS = 16
 
 
 def _subtree(spark: SparkSession) -> DataFrameReader:
@@ -24,30 +26,93 @@ def read_collection(spark: SparkSession, path: str, schema: StructType) -> DataF
     return _subtree(spark).schema(schema).parquet(path)
 
 
-def read_union_by_name(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
-    """Datasets of one collection whose columns drifted over time.
+class DataFile(NamedTuple):
+    path: str
+    modified: dt.datetime
 
-    Columns are matched by name, missing ones are NULL and numeric types widen. Datasets
-    with the same schema are read together, so the plan grows with the number of
-    distinct schemas and not with the number of datasets.
+
+def data_files(spark: SparkSession, path: str, since: dt.datetime | None = None) -> list[DataFile]:
+    """The files at or below ``path``, in path order; with ``since`` those changed then or later.
+
+    Spark lists the folders; only files that are wanted come to the driver. Times are UTC.
+    """
+    reader = _subtree(spark).format("binaryFile").option("pathGlobFilter", "*.parquet")
+    if since is not None:
+        # The option has whole seconds and is strict.
+        after = since.replace(microsecond=0) - dt.timedelta(seconds=1)
+        reader = reader.option("timeZone", "UTC").option("modifiedAfter", after.isoformat())
+    found = reader.load(path).select("path", F.unix_millis("modificationTime").alias("millis")).collect()
+    epoch = dt.datetime(1970, 1, 1)
+    files = [DataFile(row["path"], epoch + dt.timedelta(milliseconds=row["millis"])) for row in found]
+    return sorted(f for f in files if since is None or f.modified >= since)
+
+
+def _by_schema(spark: SparkSession, files: list[str]) -> list[tuple[StructType, list[str]]]:
+    """Files grouped by the schema in their footers; one Spark schema per group."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    parquet = jvm.org.apache.parquet.hadoop
+
+    def footer(file: str) -> str:
+        reader = parquet.ParquetFileReader.open(parquet.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(file), conf))
+        try:
+            return reader.getFileMetaData().getSchema().toString()
+        finally:
+            reader.close()
+
+    groups: dict[str, list[str]] = {}
+    with ThreadPoolExecutor(_FOOTER_READERS) as pool:
+        for file, schema in zip(files, pool.map(footer, files)):
+            groups.setdefault(schema, []).append(file)
+    return [(spark.read.parquet(group[0]).schema, group) for group in groups.values()]
+
+
+def read_union_by_name(
+    spark: SparkSession, paths: Iterable[str], declared: StructType | None = None
+) -> DataFrame:
+    """Files of one collection whose columns drifted over time, from one file to the next.
+
+    ``paths`` are files or folders. Columns are matched by name and missing ones are NULL.
+    Declared columns get their declared type, with NULL where a value has none in it;
+    they are there even if no file has them. Of other columns numeric types widen, and
+    types that do not go together become text. Files with equal footers are read
+    together, so the plan grows with the number of distinct schemas only.
     """
     paths = list(paths)
-    if not paths:
-        raise ValueError("no paths to read")
-    with ThreadPoolExecutor(_SCHEMA_READERS) as pool:
-        schemas = list(pool.map(lambda path: _subtree(spark).parquet(path).schema, paths))
-    by_schema: dict[str, tuple[StructType, list[str]]] = {}
-    for path, schema in zip(paths, schemas):
-        by_schema.setdefault(schema.simpleString(), (schema, []))[1].append(path)
-    parts = [_subtree(spark).schema(schema).parquet(*group) for schema, group in by_schema.values()]
+    files = [p for p in paths if p.endswith(".parquet") and not _is_folder(spark, p)]
+    files += [f.path for p in paths if p not in files for f in data_files(spark, p)]
+    if not files:
+        if declared is None:
+            raise ValueError("no files to read")
+        return spark.createDataFrame([], declared)
+    groups = _by_schema(spark, files)
+    kinds: dict[str, set] = {}
+    for schema, _ in groups:
+        for field in schema.fields:
+            kinds.setdefault(field.name, set()).add(field.dataType)
+    wanted = {field.name: field.dataType for field in declared.fields} if declared else {}
+
+    def column(field: StructField) -> Column:
+        name, found = F.col(f"`{field.name}`"), kinds[field.name]
+        if field.name in wanted:
+            same = field.dataType == wanted[field.name]
+            return (name if same else name.cast("string").try_cast(wanted[field.name])).alias(field.name)
+        if len(found) > 1 and not all(isinstance(kind, NumericType) for kind in found):
+            return name.cast("string").alias(field.name)
+        return name
+
+    parts = [
+        spark.read.schema(schema).parquet(*group).select(*[column(field) for field in schema.fields])
+        for schema, group in groups
+    ]
+    if declared is not None:
+        parts.insert(0, spark.createDataFrame([], declared))
     return functools.reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
 
 
-def subfolders(spark: SparkSession, path: str) -> list[str]:
-    """The folders directly below ``path``, in name order."""
+def _is_folder(spark: SparkSession, path: str) -> bool:
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return sorted(s.getPath().toString() for s in files.listStatus(root) if s.isDirectory())
+    return files.getFileStatus(root).isDirectory()
 
 
 def read_partitioned(

@@ -2,7 +2,7 @@
 
 A watermark is a small parquet dataset that gains one row per completed load; its
 newest value counts. Nothing is overwritten, so a run that dies leaves the last
-watermark readable.
+watermark readable. Rows beyond the newest few are removed after a new one is written.
 """
 
 from __future__ import annotations
@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from billweave.operators.incremental import max_timestamp, moment
 from billweave.schemas import WATERMARK
 
+# So many of the newest rows are kept.
+KEPT_ROWS = 8
+
 # Fixed value: the text form of a watermark.
 WATERMARK_FORMAT = "%Y-%m-%d %H:%M:%S"
 
@@ -49,15 +52,39 @@ def last_run(spark: SparkSession, base: str, layer: str, collection: str) -> dt.
     return _newest(spark, base, layer, collection, "run_time")
 
 
+def files_read_until(spark: SparkSession, base: str, layer: str, collection: str) -> dt.datetime | None:
+    """When the newest source file that a load has read was written."""
+    return _newest(spark, base, layer, collection, "files_until")
+
+
 def write_watermark(
-    spark: SparkSession, base: str, layer: str, collection: str, value: dt.datetime, run_time: dt.datetime
+    spark: SparkSession,
+    base: str,
+    layer: str,
+    collection: str,
+    value: dt.datetime,
+    run_time: dt.datetime,
+    files_until: dt.datetime | None = None,
 ) -> None:
+    until = F.lit(None).cast("timestamp_ntz") if files_until is None else moment(files_until)
     row = spark.range(1, numPartitions=1).select(
         F.lit(collection).alias("collection"),
         moment(value).alias("watermark"),
         moment(run_time).alias("run_time"),
+        until.alias("files_until"),
     )
-    row.write.mode("append").parquet(watermark_path(base, layer, collection))
+    path = watermark_path(base, layer, collection)
+    row.write.mode("append").parquet(path)
+    _remove_old(spark, path)
+
+
+def _remove_old(spark: SparkSession, path: str) -> None:
+    """Remove all but the newest files; each has one row, and later rows are never smaller."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [s for s in files.listStatus(root) if s.isFile() and s.getPath().getName().startswith("part-")]
+    for status in sorted(found, key=lambda s: s.getModificationTime())[:-KEPT_ROWS]:
+        files.delete(status.getPath(), False)
 
 
 def advance_watermark(
@@ -68,6 +95,7 @@ def advance_watermark(
     column: str,
     run_time: dt.datetime,
     known: str | None = None,
+    files_until: dt.datetime | None = None,
 ) -> dt.datetime | None:
     """Move the watermark to the newest ``column`` of what was loaded.
 
@@ -76,5 +104,5 @@ def advance_watermark(
     """
     newest = max_timestamp(loaded, column, known)
     if newest is not None:
-        write_watermark(loaded.sparkSession, base, layer, collection, newest, run_time)
+        write_watermark(loaded.sparkSession, base, layer, collection, newest, run_time, files_until)
     return newest

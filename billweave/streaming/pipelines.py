@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from billweave.operators.bronze import BRONZE_EXTRACTORS
 from billweave.operators.dedupe import ITEM_KEY
+from billweave.operators.incremental import incremental_load
+from billweave.plans.etl import write_bronze
 from billweave.schemas import RAW
+from billweave.sources.parquet import read_union_by_name
+from billweave.sources.watermark import read_watermark
 
 
 def _as_instant(naive: Column) -> Column:
@@ -41,23 +46,57 @@ def append_available(rows: DataFrame, path: str, checkpoint: str, *partition_by:
     return writer.trigger(availableNow=True).start(path)
 
 
-def with_run_minute(rows: DataFrame) -> DataFrame:
-    """Stamp rows with the minute their batch was started."""
-    minute = _as_naive(F.date_trunc("minute", F.current_timestamp()))
-    return rows.withColumn("trans_time", minute)
+def _has_run(spark: SparkSession, checkpoint: str) -> bool:
+    commits = spark._jvm.org.apache.hadoop.fs.Path(checkpoint, "commits")
+    return commits.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(commits)
 
 
 def stream_bronze(
-    spark: SparkSession, raw_base: str, collection: str, path: str, checkpoint: str
+    spark: SparkSession, raw_base: str, base: str, collection: str, checkpoint: str, files_per_batch: int = 1000
 ) -> StreamingQuery:
-    """New raw files of a collection to bronze, laid out as the batch load does it."""
-    raw = stream_collection(spark, f"{raw_base}/{collection}/data", RAW[collection])
-    bronze = with_run_minute(BRONZE_EXTRACTORS[collection](raw))
-    return append_available(bronze, path, checkpoint, "trans_time")
+    """New raw files of a collection to bronze, into the folder the batch load writes.
+
+    The stream is one of files; each batch reads its files as the batch load does, so
+    they may differ in their columns, and writes with its sinks. A batch is stamped with
+    the time its newest file was written, told apart by the batch's number, so a batch
+    that is repeated replaces itself. Files the batch load has read before the first
+    stream are left out by the rows' load time; the watermark moves with each batch, so
+    batch loads go on from there.
+    """
+    arrivals = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length long, content binary")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .option("maxFilesPerTrigger", files_per_batch)
+        .load(f"{raw_base}/{collection}/data")
+        .select("path", F.unix_millis("modificationTime").alias("millis"))
+    )
+    # Only what the batch load has read before the stream's first start is left out.
+    begun = None if _has_run(spark, checkpoint) else read_watermark(spark, base, "bronze", collection)
+
+    def load(batch: DataFrame, number: int) -> None:
+        files = batch.collect()
+        if not files:
+            return
+        newest = dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=max(f["millis"] for f in files))
+        stamp = newest + dt.timedelta(microseconds=number % 1000)
+        raw = incremental_load(read_union_by_name(spark, [f["path"] for f in files], RAW[collection]), "load_time", begun)
+        write_bronze(raw, base, collection, stamp, name=f"stream_{number:09d}", files_until=newest)
+
+    return (
+        arrivals.writeStream.foreachBatch(load)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
 
 
 def first_items(items: DataFrame, delay: str = "1 day", time: str = "createdAt") -> DataFrame:
-    """Item lines without the copies that follow within ``delay`` of the first."""
+    """Item lines without the copies that follow within ``delay`` of the first.
+
+    Lines more than ``delay`` behind the newest one are late, and left out.
+    """
     return (
         items.withColumn(time, _as_instant(F.col(time)))
         .withWatermark(time, delay)

@@ -4,15 +4,23 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from billweave.operators import bronze as bronze_operators
 from billweave.operators.incremental import incremental_load, is_up_to_date, max_timestamp, run_minute
 from billweave.plans import etl
 from billweave.plans.publishing import silver_bills_table, silver_items_table
 from billweave.schemas import BRONZE, RAW, SILVER
-from billweave.sinks.parquet import append_batch, append_by_store, append_stamped, publish
-from billweave.sources.parquet import read_collection, read_partitioned, read_union_by_name
-from billweave.sources.watermark import last_run, parse_watermark, read_watermark, write_watermark
+from billweave.sinks.parquet import append_batch, append_stamped, publish
+from billweave.sources.parquet import data_files, read_collection, read_partitioned, read_union_by_name
+from billweave.sources.watermark import (
+    KEPT_ROWS,
+    files_read_until,
+    last_run,
+    parse_watermark,
+    read_watermark,
+    write_watermark,
+)
 
 
 def at(hour, minute=0, day=1):
@@ -166,11 +174,9 @@ def test_appends(spark, folder):
     )
     for _ in range(2):  # the same minute again replaces the batch
         append_batch(df, f"{folder}/a", at(1))
-        append_by_store(df, f"{folder}/b", at(1))
         append_stamped(df.withColumn("trans_time", F.lit(at(1).isoformat()).cast("timestamp_ntz")), f"{folder}/c")
     append_batch(df, f"{folder}/a", at(2))
     assert read_collection(spark, f"{folder}/a", df.schema).count() == 4
-    assert rows(read_partitioned(spark, f"{folder}/b", {"storeId": "string"}, df.schema), "storeId", "v") == [("S1", 1)]
     stamped = read_partitioned(spark, f"{folder}/c", {"trans_time": "timestamp_ntz"})
     assert rows(stamped.select("trans_time").distinct(), "trans_time") == [(at(1),)]
 
@@ -276,8 +282,78 @@ def test_silver_items_by_environment(spark, folder):
         assert etl.load_silver_items(spark, base, at(4)) == 0
         later = [("1", at(1), "tea", "9", "S1", at(5)), ("2", at(2), "jam", "1", "S1", at(3))]
         spark.createDataFrame(later, schema).write.parquet(f"{base}/bronze/items-bronze/data/p2")
-        assert etl.load_silver_items(spark, base, at(6)) == 1
+        assert etl.load_silver_items(spark, base, at(6)) == 2
         assert rows(silver_items_table(spark, base), "billId", "itemName", "itemPrice", "load_time") == [
-            ("1", "tea", "6", at(3)), ("1", "tea", "9", at(6)), ("1", None, "7", at(3)),
+            ("1", "tea", "6", at(3)), ("1", "tea", "9", at(6)), ("1", None, "7", at(3)), ("2", "jam", "1", at(6)),
         ]
-        assert read_watermark(spark, base, "silver", "all_items") == at(6)
+        assert read_watermark(spark, base, "silver", "all_items") == at(5)
+
+
+def test_items_of_drifted_files(spark, folder):
+    path, schema = f"{folder}/bronze/items-bronze/data", BRONZE["items-bronze"]
+    first = spark.createDataFrame([("1", at(1), "tea", "5", "S1", at(1))], schema)
+    first.drop("storeId").write.mode("append").parquet(path)
+    second = spark.createDataFrame([("2", at(1), "jam", "6.5", "S1", at(1))], schema)
+    second.withColumn("itemPrice", F.col("itemPrice").cast("double")).withColumn("unit", F.lit("jar")).write.mode("append").parquet(path)
+    assert etl.load_silver_items(spark, folder, at(3)) == 2
+    found = spark.read.option("mergeSchema", "true").parquet(f"{folder}/silver/all_items/data")
+    assert rows(found, "billId", "itemPrice", "storeId", "unit") == [("1", "5", None, None), ("2", "6.5", "S1", "jar")]
+
+
+def test_union_by_file(spark, folder):
+    spark.range(1).select(F.col("id").cast("int").alias("a")).write.mode("append").parquet(folder)
+    spark.range(1, 2).select("id", F.lit("abc").alias("amount"), F.lit(1).alias("b")).write.mode("append").parquet(folder)
+    spark.range(2, 3).select(F.col("id").alias("a"), F.lit(2.5).alias("amount"), F.lit("x").alias("b")).write.mode("append").parquet(folder)
+    declared = StructType().add("a", "long").add("amount", "double").add("never", "string")
+    found = read_union_by_name(spark, [folder], declared)
+    assert dict(found.dtypes) == {"a": "bigint", "amount": "double", "never": "string", "id": "bigint", "b": "string"}
+    assert rows(found, "a", "amount", "b", "id") == [(0, None, None, None), (2, 2.5, "x", None), (None, None, "1", 1)]
+
+
+def test_unreadable_text_in_drifted_transactions(spark, folder):
+    path = f"{folder}/raw/billtransactions/data/a"
+    raw_rows(spark, "billtransactions", transaction("1", at(1), "abc")).write.mode("append").parquet(path)
+    numbers = raw_rows(spark, "billtransactions", transaction("2", at(1), "7"))
+    numbers.withColumn("billAmount", F.col("billAmount").cast("double")).write.mode("append").parquet(path)
+    assert etl.load_bronze(spark, f"{folder}/raw", folder, "billtransactions", at(3)) == at(1)
+    assert rows(etl.bronze_table(spark, folder, "billtransactions"), "billId", "billAmount") == [("1", None), ("2", 7.0)]
+
+
+def test_copies_of_a_loaded_request_are_not_new(spark, folder):
+    for number in (0, 1):
+        add_raw(spark, folder, str(number), billRequest=[request("1", at(1 + 3 * number))], storeDetails=[])
+        etl.load_all_bronze(spark, f"{folder}/raw", folder, at(10 + number))
+    assert etl.append_silver_bills(spark, folder, at(12)) == 1
+    assert etl.append_silver_bills(spark, folder, at(13)) == 0
+    assert read_watermark(spark, folder, "silver", "billRequest") == at(11)
+    assert rows(silver_bills_table(spark, folder), "billId") == [("1",)]
+
+
+def test_upsert_after_append(spark, folder):
+    loads = iter((etl.append_silver_bills, etl.upsert_silver_bills, etl.upsert_silver_bills))
+    assert rows(run_batches(spark, folder, lambda *a: next(loads)(*a)), *SHOWN) == FULL
+
+
+def test_a_late_store_reaches_its_bills(spark, folder):
+    for number, batch in enumerate([{"billRequest": [request("1", at(1))]}, {"storeDetails": [store("S1", "One", at(4))]}, {"storeDetails": [store("S1", "Two", at(7))]}]):
+        add_raw(spark, folder, str(number), **batch)
+        etl.load_all_bronze(spark, f"{folder}/raw", folder, at(10 + number))
+        assert etl.upsert_silver_bills(spark, folder, at(12 + number, 30))
+        assert rows(silver_bills_table(spark, folder), "billId", "storeName") == [("1", [None, "One", "Two"][number])]
+    assert not etl.upsert_silver_bills(spark, folder, at(20))
+
+
+def test_loads_do_not_pile_up_files(spark, folder):
+    """One bill a load, all in one store month: new files are read once and the month stays small."""
+    for number in range(12):
+        add_raw(spark, folder, str(number), billRequest=[request(str(number), at(1, number))])
+        raw = f"{folder}/raw/billRequest/data"
+        since = files_read_until(spark, folder, "bronze", "billRequest")
+        assert len(data_files(spark, raw, since)) <= 2
+        etl.load_bronze(spark, f"{folder}/raw", folder, "billRequest", at(10, number))
+        if number == 0:
+            etl.load_all_bronze(spark, f"{folder}/raw", folder, at(10, 30))
+        etl.append_silver_bills(spark, folder, at(12, number))
+    assert silver_bills_table(spark, folder).count() == 12
+    assert len(data_files(spark, f"{folder}/silver/all_bills/data")) <= 4
+    assert len(data_files(spark, f"{folder}/bronze/billRequest/watermark")) <= KEPT_ROWS

@@ -1,7 +1,9 @@
 """What the planner makes of the metrics, and publishing them."""
 
+import datetime as dt
 import os
 import re
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,7 +19,8 @@ from billweave.plans.publishing import (
 )
 from billweave.plans.registry import METRICS, ROLLUPS, SEGMENTS
 from billweave.schemas import SILVER
-from billweave.sinks.parquet import append_batch, append_by_store
+from billweave.functions.calendar import MONTH_FOLDER, month_folder
+from billweave.sinks.parquet import append_batch, replace_partitions
 from billweave.staging import shared_folder, staged, staging
 from verification import fixtures
 from verification.check import differences, oracle_connection
@@ -108,7 +111,8 @@ def by_month(spark, tables, tmp_path_factory):
     base = str(tmp_path_factory.mktemp("months"))
     run_time = fixtures.RUN_TIME
     timeless = tables["items"].limit(1).withColumn("createdAt", F.lit(None).cast("timestamp_ntz"))
-    append_by_store(tables["bills"], f"{base}/silver/all_bills/data", run_time)
+    bills = tables["bills"].where("storeId is not null").withColumn(MONTH_FOLDER, month_folder())
+    replace_partitions(bills, f"{base}/silver/all_bills/data", ["storeId", MONTH_FOLDER])
     append_batch(tables["items"].union(timeless), f"{base}/silver/all_items/data", run_time, by_month=True)
     return {"bills": silver_bills_table(spark, base), "items": silver_items_table(spark, base)}
 
@@ -188,6 +192,27 @@ def test_run_publishes_all_metrics_and_reports_failures(spark, silver):
     assert all(o.error is not None for o in outcomes) and len(outcomes) == 2
 
 
+def test_segments_fail_together(spark, silver, monkeypatch):
+    names = ["rfm_segments", "cust_segment_count", "cust_segment_spend", "monthly_bills"]
+
+    def broken(*_, **__):
+        raise RuntimeError("no segments today")
+
+    monkeypatch.setitem(METRICS, "rfm_segments", replace(METRICS["rfm_segments"], compute=broken))
+    outcomes = {o.name: o.error for o in run_metrics(spark, silver, names, fixtures.AS_OF)}
+    assert outcomes["monthly_bills"] is None and all(outcomes[n] is not None for n in names[:3])
+
+
+def test_segment_counts_are_of_the_asked_day(spark, silver):
+    day = dt.date(1999, 6, 30)
+    (outcome,) = run_metrics(spark, silver, ["cust_segment_count"], day)
+    assert outcome.error is None
+    expected = cust_segment_count(rfm_segments(silver_bills_table(spark, silver), day))
+    columns = ["storeId", "customer_segment", "count_of_customers"]
+    found = gold_table(spark, silver, "cust_segment_count").select(*columns)
+    assert sorted(map(str, found.collect())) == sorted(map(str, expected.select(*columns).collect()))
+
+
 def test_pair_counts_add_up(tables):
     pairs = products.product_pairs(tables["items"]).agg(F.sum("pair_count")).first()[0]
     sizes = products.baskets(tables["items"]).select(F.size("item_combination").alias("n"))

@@ -2,10 +2,13 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from billweave.plans import etl
 from billweave.schemas import BRONZE, SILVER
 from billweave.streaming.pipelines import append_available, daily_sales, first_items, stream_bronze, stream_collection
-from tests.test_etl import at, invoice, raw_rows, rows
+from billweave.sources.watermark import read_watermark
+from tests.test_etl import at, invoice, raw_rows, rows, store, transaction
 
 
 def add(spark, folder, name, df):
@@ -14,10 +17,9 @@ def add(spark, folder, name, df):
 
 def test_bronze_stream_takes_each_file_once(spark, folder):
     raw = f"{folder}/raw/invoiceExtractedData/data"
-    path = f"{folder}/bronze/invoiceExtractedData/data"
 
     def run():
-        stream_bronze(spark, f"{folder}/raw", "invoiceExtractedData", path, f"{folder}/checkpoint").awaitTermination()
+        stream_bronze(spark, f"{folder}/raw", folder, "invoiceExtractedData", f"{folder}/checkpoint").awaitTermination()
         return rows(etl.bronze_table(spark, folder, "invoiceExtractedData"), "billId", "billAmount")
 
     add(spark, raw, "1", raw_rows(spark, "invoiceExtractedData", invoice("1", at(1), "{'value': 1}")))
@@ -29,6 +31,25 @@ def test_bronze_stream_takes_each_file_once(spark, folder):
     assert etl.bronze_table(spark, folder, "invoiceExtractedData").where("trans_time is null").count() == 0
 
 
+def test_bronze_stream_goes_on_from_the_batch_load(spark, folder):
+    for name, first, second in (
+        ("billtransactions", transaction("1", at(1), "5"), transaction("2", at(2), "7")),
+        ("storeDetails", store("1", "One", at(1)), store("2", "Two", at(2))),
+    ):
+        raw, key = f"{folder}/raw/{name}/data", "billId" if name == "billtransactions" else "storeId"
+        add(spark, raw, "1", raw_rows(spark, name, first))
+        etl.load_bronze(spark, f"{folder}/raw", folder, name, at(3))
+        later = raw_rows(spark, name, second)
+        if name == "billtransactions":
+            later = later.withColumn("billAmount", F.col("billAmount").cast("double")).drop("walletAmount")
+        add(spark, raw, "2", later)
+        for _ in range(2):
+            stream_bronze(spark, f"{folder}/raw", folder, name, f"{folder}/checkpoint-{name}", files_per_batch=1).awaitTermination()
+            found = etl.bronze_table(spark, folder, name)
+            assert rows(found, key) == [("1",), ("2",)] and found.where("trans_time is null").count() == 0
+        assert read_watermark(spark, folder, "bronze", name) == at(2)
+
+
 def test_item_stream_drops_copies(spark, folder):
     schema = BRONZE["items-bronze"]
 

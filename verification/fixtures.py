@@ -82,15 +82,16 @@ def bills_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bills_of_events(table(spark, sf_dir, "events"))
 
 
-def items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def items(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    """Item lines; ``lines`` may be a stream of them."""
+    lines = table(spark, sf_dir, "lineitem") if lines is None else lines
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", _store_id().alias("storeId"), _created_at().alias("createdAt")
     )
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     line, item = F.col("l_linenumber"), F.col("l_partkey")
     joined = (
-        table(spark, sf_dir, "lineitem")
-        .select("l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice")
+        lines.select("l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice")
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(part, item == F.col("p_partkey"), "left")
     )
@@ -131,9 +132,9 @@ def raw_bill_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         _store_id().alias("storeId"),
         _mobile().alias("mobileNumber"),
         F.when(F.col("copy") == 1, F.upper("c_name")).otherwise(F.col("c_name")).alias("name"),
-        F.lit(None).cast("string").alias("age"),
-        F.lit(None).cast("string").alias("email"),
-        F.lit(None).cast("string").alias("gender"),
+        (F.lit(18) + F.col("o_custkey") % 70).cast("string").alias("age"),
+        F.concat(F.lit("c"), F.col("o_custkey").cast("string"), F.lit("@example.org")).alias("email"),
+        F.when(F.col("o_custkey") % 3 == 0, "f").when(F.col("o_custkey") % 3 == 1, "m").alias("gender"),
         (F.col("copy") == 1).alias("isWidget"),
         _created_at().alias("createdAt"),
         _after(_created_at(), F.lit(3600) + F.col("copy") * 7200).alias("load_time"),
@@ -175,11 +176,18 @@ def raw_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Extracted receipts of finished and pending orders, one unit above the order total."""
+    """Extracted receipts of finished and pending orders; others have none yet."""
+    return receipts_of(table(spark, sf_dir, "orders").where("o_orderstatus in ('F', 'P')"))
+
+
+def all_raw_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return receipts_of(table(spark, sf_dir, "orders"))
+
+
+def receipts_of(orders: DataFrame) -> DataFrame:
+    """Receipts one unit above the order total."""
     return (
-        table(spark, sf_dir, "orders")
-        .where("o_orderstatus in ('F', 'P')")
-        .select(
+        orders.select(
             _printed_total(F.col("o_totalprice") + 1).alias("Total"),
             _created_at().alias("createdAt"),
             _late(5400).alias("load_time"),
@@ -192,13 +200,20 @@ def raw_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transactions of all but medium priority orders, two units above the order total."""
+    """Transactions of all but medium priority orders; these were not paid by card."""
+    return transactions_of(table(spark, sf_dir, "orders").where("o_orderpriority <> '3-MEDIUM'"))
+
+
+def all_raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transactions_of(table(spark, sf_dir, "orders"))
+
+
+def transactions_of(orders: DataFrame) -> DataFrame:
+    """Transactions two units above the order total."""
     key = F.col("o_orderkey").cast("string")
     nothing = F.lit(None).cast("string")
     return (
-        table(spark, sf_dir, "orders")
-        .where("o_orderpriority <> '3-MEDIUM'")
-        .select(
+        orders.select(
             F.concat(F.lit("t"), key).alias("_id"),
             F.col("o_orderpriority").alias("posId"),
             _store_id().alias("storeId"),
@@ -289,6 +304,12 @@ def invoices_of_events(events: DataFrame) -> DataFrame:
     )
 
 
+def item_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The item lines, read as a stream of files."""
+    schema = table(spark, sf_dir, "lineitem").schema
+    return items(spark, sf_dir, stream_collection(spark, sf_dir, schema, files="lineitem.parquet"))
+
+
 def event_bill_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bills made from events, read as a stream of files."""
     schema = table(spark, sf_dir, "events").schema

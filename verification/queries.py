@@ -2,25 +2,26 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DoubleType
+from pyspark.sql.types import DateType, DoubleType, StructType
 
 from billweave.functions.calendar import MONTH_FOLDER
 from billweave.operators import bronze, silver
-from billweave.operators.incremental import incremental_load
+from billweave.operators.incremental import incremental_load, is_up_to_date, max_timestamp
 from billweave.operators.segments import rfm_segments
 from billweave.plans import etl
-from billweave.plans.publishing import silver_bills_table
+from billweave.plans.publishing import silver_bills_table, silver_items_table
 from billweave.plans.registry import BILLS, ITEMS, METRICS
-from billweave.schemas import WATERMARK
+from billweave.schemas import BRONZE, WATERMARK
 from billweave.sinks.parquet import publish
-from billweave.sources.parquet import read_partitioned, read_union_by_name, subfolders
+from billweave.sources.parquet import read_partitioned, read_union_by_name
 from billweave.sources.watermark import advance_watermark, watermark_path
 from billweave.staging import new_folder, staged
-from billweave.streaming.pipelines import append_available, daily_sales, first_items
+from billweave.streaming.pipelines import append_available, daily_sales, first_items, stream_bronze
 from verification import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,22 +91,39 @@ def _silver_bills_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _silver_bills_upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two deliveries, each loaded to bronze and merged into silver bills."""
     base = new_folder(spark, "upsert")
-    for second, run_time in ((False, fixtures.FIRST_RUN), (True, fixtures.SECOND_RUN)):
+    return _loaded_twice(spark, sf_dir, base, etl.upsert_silver_bills, etl.upsert_silver_bills)
+
+
+def _loaded_twice(spark: SparkSession, sf_dir: str, base: str, *loads: Callable) -> DataFrame:
+    runs = (False, fixtures.FIRST_RUN), (True, fixtures.SECOND_RUN)
+    for (second, run_time), load in zip(runs, loads, strict=True):
         fixtures.deliver(spark, sf_dir, f"{base}/raw", second)
         etl.load_all_bronze(spark, f"{base}/raw", base, run_time)
-        etl.upsert_silver_bills(spark, base, run_time)
+        load(spark, base, run_time)
     return silver_bills_table(spark, base).drop(MONTH_FOLDER)
 
 
+def _silver_bills_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries, appended one after the other."""
+    base = new_folder(spark, "append")
+    return _loaded_twice(spark, sf_dir, base, etl.append_silver_bills, etl.append_silver_bills)
+
+
+def _silver_bills_append_then_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = new_folder(spark, "append-upsert")
+    return _loaded_twice(spark, sf_dir, base, etl.append_silver_bills, etl.upsert_silver_bills)
+
+
 def _watermarks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The watermarks a load of silver bills leaves behind."""
     base = new_folder(spark, "watermarks")
     loaded = staged(_silver_bills(spark, sf_dir), "loaded")
-    advance_watermark(loaded, base, "silver", "billRequest", "load_br", fixtures.RUN_TIME)
+    requests = _bronze_inputs(spark, sf_dir)["billRequest"]
+    advance_watermark(requests, base, "silver", "billRequest", "trans_time", fixtures.RUN_TIME)
     for name, (id_name, load_name) in silver.EXTRACTIONS.items():
         advance_watermark(loaded, base, "silver", name, load_name, fixtures.RUN_TIME, known=id_name)
     paths = [watermark_path(base, "silver", name) for name in silver.BILL_INPUTS]
-    return spark.read.schema(WATERMARK).parquet(*paths)
+    return spark.read.schema(WATERMARK).parquet(*paths).select("collection", "watermark", "run_time")
 
 
 def _published(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,7 +140,60 @@ def _union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     finished = orders.where("o_orderstatus = 'F'").withColumn("o_orderkey", F.col("o_orderkey").cast("int"))
     finished.drop("o_orderpriority").write.parquet(f"{path}/finished")
     orders.where("o_orderstatus <> 'F'").write.parquet(f"{path}/open")
-    return read_union_by_name(spark, subfolders(spark, path))
+    return read_union_by_name(spark, [f"{path}/finished", f"{path}/open"])
+
+
+def _union_by_name_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of one folder: without the priority, with the total as number and as broken text."""
+    path = new_folder(spark, "drifted-files")
+    orders = fixtures.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority", "o_orderstatus")
+    write = lambda df: df.coalesce(1).write.mode("append").parquet(path)
+    write(orders.where("o_orderstatus = 'F'").drop("o_orderpriority").withColumn("o_orderkey", F.col("o_orderkey").cast("int")))
+    write(orders.where("o_orderstatus = 'P'").withColumn("o_totalprice", F.lit("abc")))
+    write(orders.where("o_orderstatus not in ('F', 'P')"))
+    declared = StructType().add("o_orderkey", orders.schema["o_orderkey"].dataType).add("o_totalprice", "double")
+    return read_union_by_name(spark, [path], declared)
+
+
+def _silver_items_drifted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Priced lines have the price as a number, the others a note; both in one folder."""
+    path = new_folder(spark, "drifted-items")
+    lines = fixtures.items(spark, sf_dir)
+    priced = lines.where("itemPrice <> 'N/A'").withColumn("itemPrice", F.col("itemPrice").cast("decimal(12,2)"))
+    priced.write.mode("append").parquet(path)
+    lines.where("itemPrice = 'N/A'").withColumn("note", F.lit("unpriced")).write.mode("append").parquet(path)
+    rows = read_union_by_name(spark, [path], BRONZE["items-bronze"])
+    return silver.silver_items(rows, fixtures.RUN_TIME)
+
+
+def _silver_items_environments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The item load in two environments, each in its own folder."""
+    found = None
+    for env in ("dev", "prod"):
+        base = new_folder(spark, f"items-{env}")
+        fixtures.items(spark, sf_dir).write.parquet(f"{base}/bronze/items-bronze/data/first")
+        etl.load_silver_items(spark, base, fixtures.RUN_TIME)
+        rows = silver_items_table(spark, base).drop(MONTH_FOLDER).withColumn("env", F.lit(env))
+        found = rows if found is None else found.union(rows)
+    return found
+
+
+def _up_to_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the bills count as loaded for watermarks around their newest time."""
+    bills = fixtures.bills(spark, sf_dir)
+    newest = max_timestamp(bills)
+    rows = [(s, is_up_to_date(bills, newest + dt.timedelta(seconds=s))) for s in (-60, -40, 0, 40, 60)]
+    return spark.createDataFrame(rows, "seconds_off int, up_to_date boolean")
+
+
+def _stream_bronze_after_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One delivery by the batch load, the next by the stream, into one table."""
+    base = new_folder(spark, "stream-after-batch")
+    fixtures.deliver(spark, sf_dir, f"{base}/raw", second=False)
+    etl.load_bronze(spark, f"{base}/raw", base, "billtransactions", fixtures.FIRST_RUN)
+    fixtures.deliver(spark, sf_dir, f"{base}/raw", second=True)
+    stream_bronze(spark, f"{base}/raw", base, "billtransactions", new_folder(spark, "stream-state")).awaitTermination()
+    return etl.bronze_table(spark, base, "billtransactions").select("billId", "billAmount")
 
 
 def _silver_items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,13 +224,9 @@ def _stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_first_bills(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers of a store seen first, as lines whose copies follow within the period."""
-    visits = fixtures.event_bill_stream(spark, sf_dir).select(
-        F.col("storeId").alias("billId"), F.col("name").alias("itemName"), "createdAt"
-    )
-    day = F.date_trunc("day", "createdAt").cast("timestamp_ntz")
-    first = _streamed(spark, "stream-items", first_items(visits.withColumn("createdAt", day), delay="60 days"))
-    return first.select("billId", "itemName", F.to_date("createdAt").cast("string").alias("date"))
+    """Item lines whose copies have the same time."""
+    first = _streamed(spark, "stream-items", first_items(fixtures.item_stream(spark, sf_dir)))
+    return first.select("billId", "createdAt", "itemName")
 
 
 def _stream_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,11 +242,18 @@ def queries() -> dict[str, Query]:
         "bronze_bill_requests": _bronze(bronze.bronze_bill_requests, fixtures.raw_bill_requests),
         "bronze_invoices": _bronze(bronze.bronze_invoices, fixtures.raw_event_invoices),
         "bronze_invoices_unreadable": _unreadable,
-        "bronze_receipts": _bronze(bronze.bronze_receipts, fixtures.raw_receipts),
-        "bronze_transactions": _bronze(bronze.bronze_transactions, fixtures.raw_transactions),
+        "bronze_receipts": _bronze(bronze.bronze_receipts, fixtures.all_raw_receipts),
+        "bronze_transactions": _bronze(bronze.bronze_transactions, fixtures.all_raw_transactions),
         "silver_bills_full": _silver_bills,
         "silver_bills_incremental": _silver_bills_incremental,
         "silver_bills_upserted": _silver_bills_upserted,
+        "silver_bills_appended": _silver_bills_appended,
+        "silver_bills_append_then_upsert": _silver_bills_append_then_upsert,
+        "silver_items_drifted": _silver_items_drifted,
+        "silver_items_environments": _silver_items_environments,
+        "union_by_name_files": _union_by_name_files,
+        "up_to_date_check": _up_to_date,
+        "stream_bronze_after_batch": _stream_bronze_after_batch,
         "silver_watermarks": _watermarks,
         "published_daily_sales": _published,
         "union_by_name_scan": _union_by_name,
