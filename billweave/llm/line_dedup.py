@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from billweave.llm.native import SPACES, ascii_lower, lines, whole
+from billweave.staging import staged
 
 SALTS = 64
 _DOC = ["_doc", "_text"]
@@ -61,7 +62,8 @@ def dropped_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_
         .agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(*_DOC, "pos")).alias("_first"))
         .where(F.col("_n") >= min_docs)
     )
-    gone = found.join(common.drop("_n"), ["h1", "h2"])
+    # Written, so that both sides of the join are plain and a key with very many lines is split.
+    gone = found.join(staged(common.drop("_n"), "common-lines"), ["h1", "h2"])
     if keep_first:
         gone = gone.where(~F.col("_first").eqNullSafe(F.struct(*_DOC, "pos")))
     return gone.select(*_DOC, "pos")
