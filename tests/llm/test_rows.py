@@ -133,6 +133,33 @@ def test_trees_add_spans_like_the_checked_ones(spark):
     assert not any(found[1000 + i] for i in range(400))
 
 
+OUTSIDE_BASE = {
+    "write to jo.doe [at] host [dot] com please": "address:9:35",
+    "seen at 00:1b:44:11:3a:b7 today": "host:8:25",
+    "phone: (437) 555-0689 today": "number:7:21",
+    "paid 4111.1111.1111.1111 then": "number:5:24",
+    "at 12:30:45:10 sharp": "",
+    "order 1234567890 and 4111.1111.1111.1112 fail": "",
+}
+
+
+@pytest.mark.parametrize("times", [1, 150])
+def test_personal_data_that_base_cannot_cover(spark, times):
+    """Few or many of them: what form, check digits and context vouch for is added."""
+    rows = [(10 * i + k, t, "s") for i in range(times) for k, t in enumerate(OUTSIDE_BASE)]
+    expected = list(OUTSIDE_BASE.values())
+    for r in pii.digest(pii.personal_spans(messy(spark, rows))).collect():
+        assert r.spans == expected[r.doc_id % 10]
+
+
+def test_a_missing_plus_does_not_hide_a_number(spark):
+    """Checked numbers stand for equal ones without the sign that makes them base spans."""
+    rows = [(i, f"{prose(i, 4)} and +1 {200 + i} 555 {1000 + i} {prose(i, 3)}", "s") for i in range(400)]
+    rows += [(2000, "so 1 202 555 0100 it", "s")]
+    found = {r.doc_id: r.spans for r in pii.digest(pii.personal_spans(messy(spark, rows))).collect()}
+    assert found[2000] == "number:3:17"
+
+
 def test_redaction(spark):
     df = messy(spark, [(1, "to a@b.cd and 8.8.8.8.", "s"), (2, "none", "s")])
     spans = pii.personal_spans(df).select(F.col("doc_id").alias("id"), "spans")
