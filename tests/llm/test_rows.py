@@ -210,6 +210,19 @@ def test_random_runs_are_found_and_text_is_not(spark):
     assert not any("random" in found[i] for i in [*range(200), 2000, 2001, 2002])
 
 
+@pytest.mark.parametrize(("others", "text"), [(0, ""), (3, "漢字だけの文"), (300, "a few short words of it")])
+def test_keys_are_found_in_corpora_of_any_size(spark, others, text):
+    """The same keys, alone and among many documents, with text that has no long words."""
+    rng = random.Random(9)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = ["".join(rng.choice(a) for _ in range(48)) for a in (letters, letters, letters[:26] + "234567", letters[26:])]
+    rows = [(i, f"{text} {i}", "s") for i in range(others)] + [(1000 + i, f"see {k} there", "s") for i, k in enumerate(keys)]
+    rows += [(2000, "state-of-the-art-machinery-parts and some_long_snake_case_name2", "s")]
+    found = {r.doc_id: r.spans for r in secrets.digest(secrets.secret_spans(messy(spark, rows))).collect()}
+    assert [found[1000 + i] for i in range(4)] == ["random:4:52"] * 4
+    assert not any("random" in v for k, v in found.items() if not 1000 <= k < 1004)
+
+
 def test_battery_of_uniform_symbols_is_small(spark):
     rng = random.Random(6)
     rows = [("".join(rng.choice("0123456789abcdef") for _ in range(64)),) for _ in range(200)] + [("0123" * 16,)]
