@@ -58,7 +58,7 @@ def op5_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.sort_array(F.collect_list("offset")).cast("array<string>"), ",").alias("offsets"),
     )
     files = primary.groupBy("file").agg(F.count(F.lit(1)).alias("n_records"), F.sum("length").alias("n_bytes"))
-    root = lambda tree, name: tree[-1].select("file", F.col("hash").alias(name))
+    root = lambda tree, name: warc_audit.roots(tree).withColumnRenamed("hash", name)
     return (
         files.join(root(trees[0], "primary_root"), "file")
         .join(root(trees[1], "replica_root"), "file", "left")

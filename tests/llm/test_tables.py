@@ -245,6 +245,38 @@ def test_layout_of_messy_pages(spark):
     assert sorted(r.offset for r in first) == [0, first[0].length, 2 * first[0].length]
 
 
+def test_a_file_of_one_id_is_laid_out_in_blocks(spark, monkeypatch):
+    """Pages of one id, some of them equal, are not one group; offsets are a running sum in order."""
+    monkeypatch.setattr(warc_audit, "_COPIES", 7)
+    rows = [(5, f"u{i % 900}", "x" * (i % 900 % 13)) for i in range(1000)] + [(5, "same", "copy")] * 50 + [(900, "u", "")] * 3
+    found = warc_audit.warc_layout(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert "Window" not in found._jdf.queryExecution().optimizedPlan().toString() and found.count() == len(rows)
+    at = dict.fromkeys(["pages-0", "pages-3"], 0)
+    for r in sorted(found.collect()):
+        assert r.offset == at[r.file]
+        at[r.file] += r.length
+    blocks = found.sparkSession.createDataFrame([("f", b, 10 * b + 1) for b in range(5)], "file string, block int, size long")
+    assert [r.start for r in mixing._block_starts(blocks, ["file"], "block", "size").orderBy("block").collect()] == [0, 1, 12, 33, 64]
+
+
+def test_roots_of_files_beyond_the_last_level_and_without_offsets(spark):
+    """One root for each file, that any record changes; records without offset are not one group."""
+    top = warc_audit.RANGE * warc_audit.FAN**warc_audit.LEVELS
+    schema = "file string, offset long, length long, digest string"
+    rows = [("big", i * top, 9, f"d{i}") for i in range(40)] + [("small", 0, 9, "s"), ("loose", 0, 9, "a")]
+    rows += [("loose", None, 5, f"n{i}") for i in range(500)]
+    other = [(f, o, n, "bad" if d in ("d33", "n7") else d) for f, o, n, d in rows]
+    a, b = (warc_audit.merkle_tree(spark.createDataFrame(r, schema)) for r in (rows, other))
+    left, right = ({r.file: r.hash for r in warc_audit.roots(t).collect()} for t in (a, b))
+    assert warc_audit.roots(a).count() == 3 and {f for f in left if left[f] == right[f]} == {"small"}
+    assert left["small"] == a[-1].where("file = 'small'").first().hash
+    assert a[0].where("file = 'loose'").count() > 400
+    found = warc_audit.audit(*(spark.createDataFrame(r, schema) for r in (rows, other)), (a, b)).collect()
+    assert Counter((r.file, r.offset, r.status) for r in found) == {
+        ("big", 33 * top, "changed"): 1, ("loose", -1, "missing"): 1, ("loose", -1, "extra"): 1
+    }
+
+
 def repeats_by_hand(rows: list[tuple], length: int) -> Counter:
     data = [(i, (t or "").encode()) for i, t, *_ in rows]
     counts = Counter(b[i : i + length] for _, b in data for i in range(len(b) - length + 1))
