@@ -4,10 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billweave.llm import decontaminate, line_crf, line_dedup, mixing, near_dedup, pii, quality_rules, secrets, suffix_index, warc_audit
+from billweave.llm import (
+    decontaminate,
+    line_crf,
+    line_dedup,
+    mixing,
+    near_dedup,
+    packing,
+    pii,
+    quality_rules,
+    secrets,
+    spelling,
+    suffix_index,
+    warc_audit,
+    whitening,
+)
 from billweave.llm.oracle import ORACLES
 from billweave.staging import staged
 
@@ -96,6 +111,18 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op12_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_line_crf": op1_line_crf,
@@ -108,6 +135,9 @@ def queries() -> dict[str, Query]:
         "op8_secret_scan": op8_secret_scan,
         "op9_near_dedup": op9_near_dedup,
         "op10_decontaminate": op10_decontaminate,
+        "op11_packing": op11_packing,
+        "op12_spelling_groups": op12_spelling_groups,
+        "op13_whitening": op13_whitening,
     }
 
 
