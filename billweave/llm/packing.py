@@ -15,10 +15,16 @@ rows is never sorted in one task.
 
 from __future__ import annotations
 
+import os
+import string
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import partial
+from types import ModuleType
 from typing import NamedTuple
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
@@ -37,11 +43,22 @@ WINDOW = 4096
 UNIT = 16
 #: So many remainders share a window that the least squares plan, or that the greedy step does.
 DEPTH, GREEDY_DEPTH = 3, 6
-#: Chunks of text a task remembers the ids of, before it starts anew.
+#: Chunks of text a worker remembers the ids of, before it starts anew.
 _REMEMBERED = 300_000
 #: What the tokenizer takes for white space; no token crosses it.
 _CONTROLS = "\x1c\x1d\x1e\x1f"  # fixed values: white space to Python, not to the tokenizer
-_MARKS = ".,;:!?"
+#: The last Latin-1 letter: up to it a letter's lower case is one letter, wherever it stands.
+_LATIN = "\xff"
+#: ASCII marks; at the end of a word they are one token run of their own.
+_MARKS = string.punctuation.replace("'", "")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable ones for
+    themselves, the others from 256 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = (b for b in range(256) if b not in set(printable))
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
 class Shelf(NamedTuple):
@@ -72,17 +89,16 @@ def nonnegative_least_squares(a: np.ndarray, b: np.ndarray, rounds: int = 3000)
     """The x >= 0 with the least |a x - b|, by active sets: one column enters at a time, and
     columns that would turn negative leave."""
     x, active = np.zeros(a.shape[1]), np.zeros(a.shape[1], bool)
-    gram, target = a.T @ a, a.T @ b
-    slack = 1e-10 * max(1.0, float(np.abs(target).max(initial=0.0)))
+    slack = 1e-10 * max(1.0, float(np.abs(a.T @ b).max(initial=0.0)))
     for _ in range(rounds):
-        gain = np.where(active, -np.inf, target - gram[:, active] @ x[active])
+        gain = np.where(active, -np.inf, a.T @ (b - a[:, active] @ x[active]))
         if gain.max(initial=-np.inf) <= slack:
             break
         active[int(gain.argmax())] = True
         while True:
             chosen = np.flatnonzero(active)
-            inner = gram[np.ix_(chosen, chosen)]
-            wanted = np.linalg.solve(inner + 1e-12 * np.eye(len(chosen)), target[chosen])
+            inner = a[:, chosen].T @ a[:, chosen]
+            wanted = np.linalg.solve(inner + 1e-12 * np.eye(len(chosen)), a[:, chosen].T @ b)
             if wanted.min(initial=1.0) > 0:
                 x[chosen] = wanted
                 break
@@ -175,9 +191,11 @@ class Ids:
     """
 
     def __init__(self, tokenizer: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer)
+        self.letters = _byte_letters()
         self.known: dict[str, bytes] = {}
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
@@ -185,16 +203,31 @@ class Ids:
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
     def _learn(self, chunks: list[str]) -> None:
-        if len(self.known) > _REMEMBERED:
-            self.known.clear()
-        missing = [c for c in dict.fromkeys(chunks) if c not in self.known]
-        # Marks at the end of a chunk are tokens of their own.
-        parts = {c: (s := c.lower().rstrip(_MARKS) if c.isascii() else c, c[len(s):]) for c in missing}
-        wanted = [p for p in dict.fromkeys(p for pair in parts.values() for p in pair) if p and p not in self.known]
-        self.known.update(zip(wanted, self._encoded(wanted), strict=True))
-        self.known[""] = b""
-        for c, (stem, marks) in parts.items():
-            self.known[c] = self.known[stem] + self.known[marks]
+        known = self.known
+        if len(known) > _REMEMBERED:
+            known.clear()
+        word, other = self.tokenizer.model.tokenize, []
+        for c in set(chunks):
+            if c in known:
+                continue
+            # One word of Latin letters, and marks: all that the tokenizer does before it
+            # merges is to lower-case the word and to part it from the marks.
+            stem = c.rstrip(_MARKS)
+            if not stem.isalpha() or not stem.isascii() and (max(stem) > _LATIN or not is_normalized("NFC", stem)):
+                other.append(c)
+                continue
+            low = stem.lower()
+            ids = known.get(low)
+            if ids is None:
+                letters = low if low.isascii() else low.encode().decode("latin-1").translate(self.letters)
+                ids = known[low] = array("I", [token.id for token in word(letters)]).tobytes()
+            if len(stem) < len(c):
+                marks = c[len(stem):]
+                if marks not in known:
+                    known[marks] = self._encoded([marks])[0]
+                ids += known[marks]
+            known[c] = ids
+        known.update(zip(other, self._encoded(other), strict=True))
 
     def of(self, text: str) -> bytes:
         if any(c in text for c in _CONTROLS):
@@ -207,6 +240,17 @@ class Ids:
             return b"".join([self.known[c] for c in chunks])
 
 
+def _worker_ids(tokenizer: str) -> Ids:
+    """The ids a Python worker has learned, kept from task to task.
+
+    Functions come to a task anew, so what is to last stands beside the worker's modules.
+    """
+    state = sys.modules.setdefault("billweave_packing_state", ModuleType("billweave_packing_state"))
+    if getattr(state, "tokenizer", None) != tokenizer:
+        state.tokenizer, state.ids = tokenizer, Ids(tokenizer)
+    return state.ids
+
+
 _TOKENS = "block int, number long, doc_id {id}, n long, class int, nth long, windows_before long, ids binary"
 
 
@@ -214,7 +258,7 @@ def _tokenised(
     batches: Iterator[pa.RecordBatch], tokenizer, end_id: int, window: int, unit: int, id_type: pa.DataType
 ) -> Iterator[pa.RecordBatch]:
     """Documents with their ids, their number in the task and in the task's rows of their class."""
-    ids, end = Ids(tokenizer.value), int(end_id).to_bytes(4, "little")
+    ids, end = _worker_ids(tokenizer.value), int(end_id).to_bytes(4, "little")
     block, number, windows = TaskContext.get().partitionId(), 0, 0
     seen: dict[int, int] = {}
     names = ["block", "number", "doc_id", "n", "class", "nth", "windows_before", "ids"]
