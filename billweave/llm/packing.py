@@ -44,7 +44,7 @@ UNIT = 16
 #: So many remainders share a window that the least squares plan, or that the greedy step does.
 DEPTH, GREEDY_DEPTH = 3, 6
 #: Chunks of text a worker remembers the ids of, before it starts anew.
-_REMEMBERED = 300_000
+_REMEMBERED = 400_000
 #: What the tokenizer takes for white space; no token crosses it.
 _CONTROLS = "\x1c\x1d\x1e\x1f"  # fixed values: white space to Python, not to the tokenizer
 #: The last Latin-1 letter: up to it a letter's lower case is one letter, wherever it stands.
@@ -183,61 +183,45 @@ def slots(plan: list[Shelf], units: int) -> dict[int, np.ndarray]:
 # --- inside tasks ----------------------------------------------------------------------
 
 
-class Ids:
-    """Ids of texts as little-endian 32-bit numbers.
+class Ids(dict):
+    """Ids of chunks of text as little-endian 32-bit numbers, found when they are first asked for.
 
-    No token crosses white space, so a text is looked up chunk by chunk; the tokenizer
-    itself encodes every chunk that is not remembered.
+    No token crosses white space, so a text is looked up chunk by chunk.
     """
 
     def __init__(self, tokenizer: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_str(tokenizer)
-        self.letters = _byte_letters()
-        self.known: dict[str, bytes] = {}
-
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def _learn(self, chunks: list[str]) -> None:
-        known = self.known
-        if len(known) > _REMEMBERED:
-            known.clear()
-        word, other = self.tokenizer.model.tokenize, []
-        for c in set(chunks):
-            if c in known:
-                continue
-            # One word of Latin letters, and marks: all that the tokenizer does before it
-            # merges is to lower-case the word and to part it from the marks.
-            stem = c.rstrip(_MARKS)
-            if not stem.isalpha() or not stem.isascii() and (max(stem) > _LATIN or not is_normalized("NFC", stem)):
-                other.append(c)
-                continue
-            low = stem.lower()
-            ids = known.get(low)
-            if ids is None:
-                letters = low if low.isascii() else low.encode().decode("latin-1").translate(self.letters)
-                ids = known[low] = array("I", [token.id for token in word(letters)]).tobytes()
-            if len(stem) < len(c):
-                marks = c[len(stem):]
-                if marks not in known:
-                    known[marks] = self._encoded([marks])[0]
-                ids += known[marks]
-            known[c] = ids
-        known.update(zip(other, self._encoded(other), strict=True))
+        self.word, self.letters = self.tokenizer.model.tokenize, _byte_letters()
+
+    def encoded(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def __missing__(self, chunk: str) -> bytes:
+        # One word of Latin letters, and marks: all that the tokenizer does before it merges
+        # is to lower-case the word and to part it from the marks.
+        stem = chunk.rstrip(_MARKS)
+        if not stem.isalpha() or not stem.isascii() and (max(stem) > _LATIN or not is_normalized("NFC", stem)):
+            ids = self.encoded(chunk)
+        elif len(stem) < len(chunk):
+            ids = self[stem.lower()] + self[chunk[len(stem) :]]
+        elif (low := stem.lower()) != stem:
+            ids = self[low]
+        else:
+            letters = low if low.isascii() else low.encode().decode("latin-1").translate(self.letters)
+            ids = array("I", [token.id for token in self.word(letters)]).tobytes()
+        self[chunk] = ids
+        return ids
 
     def of(self, text: str) -> bytes:
         if any(c in text for c in _CONTROLS):
-            return self._encoded([text])[0]
-        chunks = text.split()
-        try:
-            return b"".join([self.known[c] for c in chunks])
-        except KeyError:
-            self._learn(chunks)
-            return b"".join([self.known[c] for c in chunks])
+            return self.encoded(text)
+        if len(self) > _REMEMBERED:
+            self.clear()
+        return b"".join(map(self.__getitem__, text.split()))
 
 
 def _worker_ids(tokenizer: str) -> Ids:
