@@ -265,7 +265,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     component is named by its least doc_id, the one that is kept. A text without words,
     or NULL, has no shingles and is linked with nothing; so is a row without doc_id,
     whose component is NULL and which is kept. Rows that share an id are one document,
-    linked by any of its texts, and get equal verdicts. Other columns are not read.
+    linked by any of its texts, and get equal verdicts. Very long texts are compared whole.
+    An empty table gives no rows. Other columns are not read.
     """
     binary = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     described = staged(
@@ -280,6 +281,13 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     nodes = linkable.join(classes, ["set_a", "set_b"]).where("doc_id = node")
     signatures = nodes.select("node", "signature")
 
+    # An id with several texts links their classes, however unlike they are.
+    placed = linkable.select("doc_id", "set_a", "set_b").join(classes, ["set_a", "set_b"]).select("doc_id", "node")
+    least = placed.groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("most")).where("b < most")
+    same = staged(
+        placed.join(least, "doc_id").where("node <> b").select(F.col("node").alias("a"), "b").distinct(), "near-same-id"
+    )
+
     keyed = nodes.select("node", F.posexplode("bands").alias("pos", "key"))
     priority = F.struct(F.xxhash64("node").alias("order"), "node")
     # Written, so that both sides of the join are plain and a key with very many nodes is split.
@@ -304,7 +312,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     open_ = _open_buckets(met.select("key", "pos", "node"), label())
     links = links.union(_verified(texts, _rest(open_, nodes, texts, percent), percent))
 
-    found = components(links.toDF("u", "v"))
+    found = components(links.union(same).toDF("u", "v"))
     return (
         described.select("doc_id", "n_shingles", "set_a", "set_b")
         .join(classes, ["set_a", "set_b"], "left")
@@ -318,6 +326,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
 
 
 def distinct_documents(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """The rows of ``docs`` whose document is kept; columns unchanged."""
+    """The rows of ``docs`` whose document is kept; columns unchanged.
+
+    Rows without id, and texts without words, are kept. All rows of a kept id are, also
+    with unlike texts. An empty table stays empty.
+    """
     gone = near_duplicates(docs, percent).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")

@@ -1,20 +1,25 @@
 """Quality rules as a short-circuit cascade.
 
-A rule is a condition on measures of a text. On a bounded sample each rule's running time
-is measured and the texts it rejects are noted; rules then run in the order of rejections
-per second, each counted on what the rules before it let through. A ``CASE`` keeps that
-order for every text and stops at the first rule that rejects, so a measure that only
-later rules need is not computed for it. The order changes the cost, never the verdict.
-
-All work is SQL expressions on one row; nothing is shuffled.
+A rule is a condition on measures of a text. On a bounded sample each rule's cost is
+estimated, as the characters and words its measures go through, and the texts it rejects
+are noted; rules then run in the order of rejections per cost, each counted on what the
+rules before it let through. A ``CASE`` keeps that order for every text and stops at the
+first rule that rejects, so a measure that only later rules need is not computed for it.
+The order changes the cost, never the verdict.
+
+Cost is counted, not timed, and the sample is chosen by hashes of the texts in a few files
+chosen by hashes of their names, so the same table always gives the same order. All work is SQL
+expressions on one row; nothing is shuffled.
 """
 
 from __future__ import annotations
 
-import time
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -93,6 +98,21 @@ MEASURES: dict[str, Callable[[Column], Column]] = {
 }
 
 
+#: What a measure goes through, as an expression on (characters, words): a pass over the text
+#: by a pattern, over the words of a split text, or a sort of windows of words.
+_WORK: dict[str, Callable[[Column, Column], Column]] = {
+    "n_words": lambda c, w: c + w,
+    "word_chars": lambda c, w: c,
+    "n_symbols": lambda c, w: c,
+    "n_lines": lambda c, w: 2 * c,
+    "n_dup_lines": lambda c, w: 2 * c,
+    "n_repeat_words": lambda c, w: c + 4 * WINDOW * w,
+    "n_same_words": lambda c, w: c + 3 * w,
+    "n_capitals": lambda c, w: c,
+    "n_exclamations": lambda c, w: c,
+}
+
+
 @dataclass(frozen=True)
 class Rule:
     """``rejects`` gets a function from a measure's name to its column."""
@@ -100,6 +120,17 @@ class Rule:
     name: str
     rejects: Callable[[Measure], Column]
 
+    def measures(self) -> set[str]:
+        """The names of the measures the rule asks for."""
+        asked: set[str] = set()
+
+        def note(name: str) -> Column:
+            asked.add(name)
+            return F.lit(0)
+
+        self.rejects(note)
+        return asked
+
 
 BASE_RULES = (
     Rule("few_words", lambda m: m("n_words") < MIN_WORDS),
@@ -120,33 +151,57 @@ def _on_text(text: Column) -> Measure:
     return lambda name: MEASURES[name](text)
 
 
-def cascade_order(
-    docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = 1000, fraction: float = 0.02
-) -> list[Rule]:
-    """The rules by rejections per second on at most ``sample_rows`` sampled texts.
+#: The sample has about so many texts, out of so many files at most.
+SAMPLE_ROWS, SAMPLE_FILES = 1000, 8
+_SHARES = 1 << 20
 
-    A rule's time is that of one aggregate over the staged sample, less that of one that
-    runs no rule. Rejections are counted anew after each choice, among the texts left.
-    An empty sample keeps the given order.
+
+def rule_sample(docs: DataFrame, rows: int = SAMPLE_ROWS, files: int = SAMPLE_FILES) -> DataFrame:
+    """About ``rows`` texts (text) of ``docs``, the same ones whenever it is called.
+
+    Of a table read from files, ``files`` of them are read; which, the hashes of their names
+    say. In them the texts are counted without being read, and hashes of the texts choose.
+    Small tables are taken whole. Equal texts are chosen together; NULL counts as empty.
+    """
+    some = docs.select("text")
+    names = sorted(docs.inputFiles(), key=lambda name: hashlib.md5(name.rsplit("/", 1)[-1].encode()).digest())
+    if len(names) > files:
+        try:
+            found = docs.select("text", F.col("_metadata.file_path").alias("_file"))
+            some = found.where(F.col("_file").isin([_as_metadata(n) for n in names[:files]])).select("text")
+        except AnalysisException:  # not read from files as it is: all of it is sampled
+            pass
+    share = rows / max(some.count(), 1)
+    chosen = some if share >= 1 else some.where(F.pmod(F.xxhash64(whole(F.col("text"))), F.lit(_SHARES)) < int(share * _SHARES))
+    return staged(chosen, "rule-sample")
+
+
+def _as_metadata(name: str) -> str:
+    """A file's name as Spark's file metadata has it: not encoded, local ones with one slash."""
+    name = unquote(name)
+    return "file:/" + name[len("file:") :].lstrip("/") if name.startswith("file:") else name
+
+
+def cascade_order(docs: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
+    """The rules by rejections per cost on a sample of about ``sample_rows`` texts.
+
+    Rejections are counted anew after each choice, among the texts left. Of equal rules the
+    one given first goes first; an empty sample keeps the given order.
     """
-    sample = staged(docs.select("text").sample(fraction, seed=7).limit(sample_rows), "rule-sample")
-    rejects = {r.name: r.rejects(_on_text(F.col("text"))) for r in rules}
-    pattern = [rejects[r.name].alias(r.name) for r in rules]
-    seen = [(set(n for n in rejects if row[n]), row["count"]) for row in sample.select(*pattern).groupBy(*rejects).count().collect()]
-
-    def seconds(condition: Column) -> float:
-        start = time.perf_counter()
-        sample.select(F.count_if(condition)).collect()
-        return time.perf_counter() - start
-
-    idle = seconds(F.col("text") == "")
-    cost = {name: max(seconds(condition) - idle, 1e-3) for name, condition in rejects.items()}
+    sample = rule_sample(docs, sample_rows)
+    text, names = F.col("text"), [r.name for r in rules]
+    rejects = [r.rejects(_on_text(text)).alias(r.name) for r in rules]
+    seen = [(set(n for n in names if row[n]), row["count"]) for row in sample.select(*rejects).groupBy(*names).count().collect()]
+    chars, words_ = F.char_length(whole(text)), F.size(words(text))
+    work = lambda r: F.sum(sum((_WORK[m](chars, words_) for m in sorted(r.measures())), F.lit(0))).alias(r.name)
+    counted = sample.agg(*[work(r) for r in rules]).first()
+    cost = {name: max(counted[name] or 0, 1) for name in names}
     order: list[Rule] = []
     left = list(rules)
     while left:
         taken = {r.name for r in order}
-        open_ = [(names, n) for names, n in seen if not names & taken]
-        gain = lambda r: sum(n for names, n in open_ if r.name in names) / cost[r.name]  # noqa: E731, B023
+        open_ = [(found, n) for found, n in seen if not found & taken]
+        gain = lambda r: sum(n for found, n in open_ if r.name in found) / cost[r.name]  # noqa: E731, B023
         best = max(left, key=gain)
         order.append(best)
         left.remove(best)
@@ -172,17 +227,28 @@ def passing(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return docs.where(first_rejection(_on_text(F.col("text")), order).isNull())
 
 
+#: Measures ``verdicts`` reports of every text.
+REPORTED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
 def verdicts(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """One row per row of ``docs``: doc_id, all measures, base_failed, kept.
+    """One row per row of ``docs``: doc_id, the reported measures, base_failed, kept.
 
-    Here every measure is asked for, so the cascade reads the measured columns. NULL and
-    empty texts have no words: all counts are 0 and the text fails the base rules.
+    The rules that are not base rules run as a cascade, on the texts the base rules let
+    through; they use the reported measures, and compute their own where it is their turn. NULL
+    and empty texts have no words: all counts are 0 and the text fails the base rules. Very
+    long texts are measured whole; repeated rows get equal verdicts; an empty table gives no
+    rows.
     """
-    order = cascade_order(docs, rules)
-    measured = docs.select("doc_id", *[make(F.col("text")).alias(name) for name, make in MEASURES.items()])
+    text = F.col("text")
+    base_names = {rule.name for rule in BASE_RULES}
+    order = [rule for rule in cascade_order(docs, rules) if rule.name not in base_names]
+    measured = docs.select("doc_id", "text", *[MEASURES[name](text).alias(name) for name in REPORTED])
     base = F.lit(False)
     for rule in BASE_RULES:
         base = base | rule.rejects(F.col)
-    return measured.select(
-        "*", base.alias("base_failed"), (~base & first_rejection(F.col, order).isNull()).alias("kept")
+    measure = lambda name: F.col(name) if name in REPORTED else MEASURES[name](text)
+    kept = F.when(F.col("base_failed"), False).otherwise(first_rejection(measure, order).isNull())
+    return measured.select("doc_id", "text", *REPORTED, base.alias("base_failed")).select(
+        "doc_id", *REPORTED, "base_failed", kept.alias("kept")
     )

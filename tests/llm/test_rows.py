@@ -69,8 +69,36 @@ def test_cascade_order_never_changes_the_verdict(spark):
     ]
     assert kept[0] == kept[1] == sorted(str(r) for r in quality_rules.passing(docs).collect())
     assert quality_rules.passing(docs).columns == docs.columns
-    order = quality_rules.cascade_order(docs, sample_rows=100, fraction=1.0)
+    order = quality_rules.cascade_order(docs, sample_rows=100)
     assert sorted(r.name for r in order) == sorted(r.name for r in quality_rules.RULES)
+    assert [r.name for r in quality_rules.cascade_order(empty(spark))] == [r.name for r in quality_rules.RULES]
+
+
+def test_the_rule_sample_is_small_and_always_the_same(spark, folder):
+    rows = [(i, prose(i, 30 + i % 7), "s") for i in range(2000)]
+    messy(spark, rows).repartition(40).write.parquet(f"{folder}/t")
+    docs = spark.read.parquet(f"{folder}/t")
+    samples = [quality_rules.rule_sample(docs, rows=100, files=5).collect() for _ in range(2)]
+    assert 50 < len(samples[0]) < 170 and Counter(samples[0]) == Counter(samples[1])
+    wanted = {r.text for r in samples[0]}
+    files = docs.where(F.col("text").isin(list(wanted))).select("_metadata.file_path").distinct().count()
+    assert files <= 5
+    orders = [[r.name for r in quality_rules.cascade_order(docs)] for _ in range(3)]
+    assert orders[0] == orders[1] == orders[2]
+
+
+def test_later_measures_wait_inside_the_cascade(spark, folder):
+    """The plan computes what is not reported only in the CASE, after the base rules."""
+    messy(spark).write.parquet(f"{folder}/t")
+    found = quality_rules.verdicts(spark.read.parquet(f"{folder}/t"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    projects = [line for line in plan.split("\n") if "Project" in line]
+    assert len(projects) >= 2
+    for measure in ("[^A-Z]+", "[^!]+"):
+        assert sum(measure in line for line in projects) == 1
+        line = next(line for line in projects if measure in line)
+        assert line.index("CASE WHEN") < line.index(measure)
+        assert "AS n_repeat_words" not in line  # the reported measures are computed below
 
 
 def overlapping(pattern: str, text: str, valid) -> list[tuple[int, int]]:

@@ -145,7 +145,16 @@ def test_near_duplicates_of_messy_rows(spark):
     assert near_dedup.near_duplicates(empty(spark)).count() == 0
 
 
-@pytest.mark.parametrize("group", [2])
+def test_an_id_with_two_texts_links_both(spark):
+    a, b, c = prose(61, 40), prose(62, 40), prose(63, 40)
+    rows = [(3, b, "s"), (5, a, "s"), (5, b, "s"), (7, a, "s"), (8, c, "s"), (8, a, "s"), (9, c, "s"), (20, prose(64, 40), "s")]
+    found = near_dedup.near_duplicates(messy(spark, rows)).collect()
+    assert {(r.doc_id, r.component_id) for r in found} == {(i, 3) for i in (3, 5, 7, 8, 9)} | {(20, 20)}
+    assert {r.doc_id: r.component_id for r in found} == components_by_hand(rows)
+    assert sorted(r.doc_id for r in near_dedup.distinct_documents(messy(spark, rows)).collect()) == [3, 20]
+
+
+@pytest.mark.parametrize("group", [2, 200])
 def test_chains_and_groups_of_near_copies(spark, group, monkeypatch):
     """Texts that drift apart step by step: only neighbours are similar, all are one component."""
     monkeypatch.setattr(near_dedup, "GROUP", group)
