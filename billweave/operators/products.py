@@ -106,45 +106,46 @@ def product_basket(items: DataFrame) -> DataFrame:
     )
 
 
-def _pairs_inside(basket: DataFrame) -> DataFrame:
-    """Pairs of a sorted array ``basket``."""
-    first = basket.select("storeId", "basket", F.posexplode("basket").alias("place", "product_a"))
-    later = F.slice("basket", F.col("place") + 2, F.size("basket"))
-    return first.select("storeId", "product_a", F.explode(later).alias("product_b"))
-
-
-def _pairs_by_block(basket: DataFrame, block: int) -> DataFrame:
-    """The same, with each block of a basket and each two blocks spread over the cluster."""
-    starts = F.sequence(F.lit(1), F.size("basket"), F.lit(block))
-    blocks = F.transform(starts, lambda start: F.slice("basket", start, F.lit(block)))
-    later = F.slice("blocks", F.col("left") + 1, F.size("blocks"))
-    # A stated number of partitions: the rows are small, and would else be put together
-    # again, but each grows to the square of the block.
-    partitions = int(basket.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    couples = (
-        basket.select(*_BASKET, blocks.alias("blocks"))
-        .select(*_BASKET, "blocks", F.posexplode("blocks").alias("left", "first"))
-        .select(*_BASKET, "left", "first", F.posexplode(later).alias("right", "second"))
-        .repartition(partitions, *_BASKET, "left", "right")
-    )
-    return (
-        couples.select("storeId", "second", F.explode("first").alias("product_a"))
-        .select("storeId", "product_a", F.explode("second").alias("product_b"))
-        .where("product_a < product_b")
-    )
-
-
 def product_pairs(items: DataFrame, block: int = PAIR_BLOCK) -> DataFrame:
     """Bills in which two products occur together, each pair once, in name order.
 
-    Takes items or ``baskets``. A basket of up to ``block`` items is expanded where it is. A larger one is cut into
-    blocks that are spread before they are expanded, so no task gets all its pairs.
+    Takes items or ``baskets``. A basket is cut into blocks. The pairs inside a block are
+    made where it is; for two blocks of a basket only their numbers are sent around, and
+    each couple fetches its two blocks by a join, so no row holds more than two blocks and
+    the couples of a large basket are dealt out over the cluster.
     """
-    basket = (
+    starts = F.sequence(F.lit(1), F.size("item_combination"), F.lit(block))
+    parts = F.transform(starts, lambda start: F.slice("item_combination", start, F.lit(block)))
+    blocks = (
         baskets(items)
         .where(F.col("billId").isNotNull() & F.col("createdAt").isNotNull())
-        .select(*_BASKET, F.col("item_combination").alias("basket"))
+        .select(*_BASKET, parts.alias("parts"))
+        .select(*_BASKET, F.size("parts").alias("last"), F.posexplode("parts").alias("number", "part"))
     )
-    large = F.size("basket") > block
-    pairs = _pairs_inside(basket.where(~large)).unionByName(_pairs_by_block(basket.where(large), block))
+    pairs = _pairs_inside(blocks).unionByName(_pairs_between(blocks))
     return pairs.groupBy("storeId", "product_a", "product_b").agg(F.count(F.lit(1)).alias("pair_count"))
+
+
+def _pairs_inside(blocks: DataFrame) -> DataFrame:
+    first = blocks.select("storeId", "part", F.posexplode("part").alias("place", "product_a"))
+    later = F.slice("part", F.col("place") + 2, F.size("part"))
+    return first.select("storeId", "product_a", F.explode(later).alias("product_b"))
+
+
+def _pairs_between(blocks: DataFrame) -> DataFrame:
+    """Pairs of an item and one in a later block of its basket; blocks are in order."""
+    part = lambda name: blocks.where("last > 1").select(*_BASKET, F.col("number").alias(name), F.col("part").alias(f"{name}_part"))
+    couples = blocks.where("number + 1 < last").select(
+        *_BASKET, F.col("number").alias("left"), F.explode(F.expr("sequence(number + 1, last - 1)")).alias("right")
+    )
+    # A stated number of partitions: couples are small, and would else be put together
+    # again, but each grows to the square of the block.
+    partitions = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    fetched = (
+        couples.join(part("left"), [*_BASKET, "left"])
+        .join(part("right"), [*_BASKET, "right"])
+        .repartition(partitions, *_BASKET, "left", "right")
+    )
+    return fetched.select("storeId", "right_part", F.explode("left_part").alias("product_a")).select(
+        "storeId", "product_a", F.explode("right_part").alias("product_b")
+    )

@@ -1,7 +1,8 @@
 """Loading raw collections to bronze and bronze to silver under a base folder.
 
-Data is written first and the watermark after it. A batch is named after the minute of
-its run: repeating a run that died, with its run time, replaces its batch. Repeated
+A load reads the source files that its ledger does not name, whenever they were written.
+Data is written first, then the ledger and the watermark. A batch is labelled with the
+minute of its run: repeating a run that died, with its run time, replaces its batch. Repeated
 later, it loads the same rows again; silver keeps one of them. New rows in the minute of
 a completed load are refused, as they would replace its rows; they load a minute later.
 """
@@ -15,7 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from billweave.functions.calendar import MONTH_FOLDER, month_folder
 from billweave.operators.bronze import BRONZE_EXTRACTORS
@@ -31,43 +32,63 @@ from billweave.operators.silver import (
     silver_items,
 )
 from billweave.schemas import BRONZE, RAW, SILVER
-from billweave.sinks.parquet import BATCH_FORMAT, append_batch, append_stamped, replace_partitions
-from billweave.sources.parquet import (
-    data_files,
-    read_by_month,
-    read_collection,
-    read_partitioned,
-    read_union_by_name,
+from billweave.sinks.parquet import (
+    BATCH_FORMAT,
+    BILL_BUCKET,
+    BILL_BUCKETS,
+    LOAD_DAY,
+    append_batch,
+    append_by_bill,
+    bill_bucket,
+    replace_partitions,
 )
-from billweave.sources.watermark import advance_watermark, files_read_until, last_run, read_watermark
+from billweave.sources.ledger import File, record_files, unread_files
+from billweave.sources.parquet import read_by_month, read_union_by_name
+from billweave.sources.watermark import advance_watermark, last_run, read_watermark
 from billweave.staging import staged, staging
+from billweave.versions import COMMIT, current, merge_commits, read_version
 
-# Collections kept in batch folders; the others are partitioned by their run time.
-_IN_BATCHES = {"storeDetails"}
+# Collections without bills are not laid out by day and bill.
+_NOT_BY_BILL = {"storeDetails"}
+_BY_BILL_TYPES = {LOAD_DAY: "string", BILL_BUCKET: "integer"}
 
 
 def data_path(base: str, layer: str, collection: str) -> str:
     return f"{base}/{layer}/{collection}/data"
 
 
-def new_source_rows(
-    spark: SparkSession, path: str, declared: StructType, since: dt.datetime | None
-) -> tuple[DataFrame, dt.datetime | None]:
-    """Rows of the files written at or after ``since``, and when the newest was written.
+def rows_of(spark: SparkSession, files: list[File], declared: StructType) -> DataFrame:
+    """The rows of files that may differ in their columns."""
+    return read_union_by_name(spark, [file.path for file in files], declared)
 
-    Files may differ in their columns. A file that has been read before and is as old as
-    ``since`` comes again; the watermark on its rows leaves it out.
-    """
-    files = data_files(spark, path, since)
-    rows = read_union_by_name(spark, [f.path for f in files], declared)
-    return rows, max((f.modified for f in files), default=since)
+
+def _commit_rows(spark: SparkSession, path: str, schema: StructType, commit: str) -> DataFrame:
+    """The rows one commit has written."""
+    rows = read_version(spark, path, current(spark, path), {}, schema)
+    return rows.where(F.col(COMMIT) == commit).select(*schema.names)
 
 
-def bronze_table(spark: SparkSession, base: str, collection: str) -> DataFrame:
+def bronze_table(
+    spark: SparkSession, base: str, collection: str,
+    since: dt.datetime | None = None, buckets: list[int] | None = None,
+) -> DataFrame:
+    """Bronze rows; with ``since`` those loaded later, with ``buckets`` those of bills in them.
+
+    Both select folders, so other files are not read. Empty before the first load.
+    """
     path, schema = data_path(base, "bronze", collection), BRONZE[collection]
-    if collection in _IN_BATCHES:
-        return read_collection(spark, path, schema)
-    return read_partitioned(spark, path, {"trans_time": "timestamp_ntz"}, schema)
+    version = current(spark, path)
+    if version is None:
+        return spark.createDataFrame([], schema)
+    by_bill = collection not in _NOT_BY_BILL
+    rows = read_version(spark, path, version, _BY_BILL_TYPES if by_bill else {}, schema)
+    if since is not None:
+        if by_bill:
+            rows = rows.where(F.col(LOAD_DAY) >= since.date().isoformat())
+        rows = incremental_load(rows, "trans_time", since)
+    if buckets is not None and by_bill and len(buckets) < BILL_BUCKETS:
+        rows = rows.where(F.col(BILL_BUCKET).isin(buckets))
+    return rows.select(*schema.names)
 
 
 def _may_run(
@@ -90,42 +111,41 @@ def load_bronze(
     run_time: dt.datetime | None = None,
     skip_if_up_to_date: bool = False,
 ) -> dt.datetime | None:
-    """Bring the new rows of one raw collection to bronze; returns the new watermark."""
+    """Bring the new rows of one raw collection to bronze; returns the new watermark.
+
+    New are rows of files that have not been read, with a load time after the watermark.
+    """
     run_time = run_minute(run_time)
-    since = files_read_until(spark, base, "bronze", collection)
-    raw, files_until = new_source_rows(spark, f"{raw_base}/{collection}/data", RAW[collection], since)
+    files = unread_files(spark, f"{raw_base}/{collection}/data", base, "bronze", collection)
+    if not files:
+        return None
+    raw = rows_of(spark, files, RAW[collection])
     watermark = read_watermark(spark, base, "bronze", collection)
     if skip_if_up_to_date and is_up_to_date(raw, watermark):
         return None
     new = incremental_load(raw, "load_time", watermark)
     if not _may_run(spark, base, "bronze", collection, run_time, new):
         return None
-    return write_bronze(new, base, collection, run_time, files_until=files_until)
+    return write_bronze(new, base, collection, run_time, files)
 
 
 def write_bronze(
-    new: DataFrame,
-    base: str,
-    collection: str,
-    run_time: dt.datetime,
-    name: str | None = None,
-    files_until: dt.datetime | None = None,
+    new: DataFrame, base: str, collection: str, run_time: dt.datetime, files: list[File], name: str | None = None
 ) -> dt.datetime | None:
-    """Write new raw rows to bronze under a stamp and move the watermark; a rerun replaces them.
+    """Write new raw rows to bronze under a stamp, record their files and move the watermark.
 
-    ``name`` is that of the batch folder, where a collection has such.
+    A rerun replaces the rows; it is known by its run time, or by ``name``.
     """
-    spark = new.sparkSession
+    spark, label = new.sparkSession, name or run_time.strftime(BATCH_FORMAT)
     batch = stamped(BRONZE_EXTRACTORS[collection](new), "trans_time", run_time)
-    path = data_path(base, "bronze", collection)
-    if collection in _IN_BATCHES:
-        append_batch(batch, path, run_time, name=name)
-    else:
-        append_stamped(batch, path)
-    written = bronze_table(spark, base, collection).where(F.col("trans_time") == moment(run_time))
-    return advance_watermark(
-        written, base, "bronze", collection, "load_time", run_time, files_until=files_until
-    )
+    path, schema = data_path(base, "bronze", collection), BRONZE[collection]
+    by_bill = collection not in _NOT_BY_BILL
+    commit = append_by_bill(batch, path, label) if by_bill else append_batch(batch, path, run_time, name=name)
+    written = _commit_rows(spark, path, schema, commit)
+    record_files(spark, files, base, "bronze", collection, label)
+    newest = advance_watermark(written, base, "bronze", collection, "load_time", run_time)
+    merge_commits(spark, path, schema, _BY_BILL_TYPES if by_bill else {})
+    return newest
 
 
 def load_all_bronze(
@@ -141,8 +161,12 @@ def load_all_bronze(
         return dict(zip(BRONZE_EXTRACTORS, pool.map(load, BRONZE_EXTRACTORS)))
 
 
-def _bronze_inputs(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    return {name: bronze_table(spark, base, name) for name in (*BILL_INPUTS, "storeDetails")}
+def _bronze_since(
+    spark: SparkSession, base: str, watermarks: dict[str, dt.datetime | None]
+) -> dict[str, DataFrame]:
+    """What is new since the watermarks, and all stores."""
+    new = {name: bronze_table(spark, base, name, watermarks[name]) for name in BILL_INPUTS}
+    return {**new, "storeDetails": bronze_table(spark, base, "storeDetails")}
 
 
 def _bill_watermarks(spark: SparkSession, base: str) -> dict[str, dt.datetime | None]:
@@ -162,10 +186,11 @@ def append_silver_bills(
     in are rewritten with it, so files do not add up, and a rerun replaces its batch.
     """
     run_time = run_minute(run_time)
-    bronze, watermarks = _bronze_inputs(spark, base), _bill_watermarks(spark, base)
-    if skip_if_up_to_date and is_up_to_date(bronze["billRequest"], watermarks["billRequest"]):
+    watermarks = _bill_watermarks(spark, base)
+    if skip_if_up_to_date and is_up_to_date(bronze_table(spark, base, "billRequest"), watermarks["billRequest"]):
         return 0
-    requests = incremental_load(bronze["billRequest"], "trans_time", watermarks["billRequest"])
+    bronze = _bronze_since(spark, base, watermarks)
+    requests = bronze["billRequest"]
     if not _may_run(spark, base, "silver", "billRequest", run_time, requests):
         return 0
     with staging(spark):
@@ -183,26 +208,38 @@ def upsert_silver_bills(spark: SparkSession, base: str, run_time: dt.datetime |
     """Bring silver bills to what one full load of all bronze rows would give.
 
     Bills that any new bronze row belongs to are assembled anew and replace their old
-    rows. The table is kept by store and month of the bill, and only the months that
+    rows. Bronze is kept by buckets of bills, and only the buckets of these bills are read.
+    The table is kept by store and month of the bill, and only the months that
     change are rewritten; as a bill keeps its first request, it never leaves its month.
     A store whose name is new or has changed reaches its old bills, too.
-    The merged rows are staged before any folder is replaced, so a repeated run gives
-    the same table. Returns whether anything changed.
+    All months change in one commit. Returns whether anything changed.
     """
     run_time = run_minute(run_time)
-    bronze, watermarks = _bronze_inputs(spark, base), _bill_watermarks(spark, base)
+    watermarks = _bill_watermarks(spark, base)
     watermarks["storeDetails"] = read_watermark(spark, base, "silver", "storeDetails")
+    new = _bronze_since(spark, base, watermarks)
     with staging(spark):
-        ids = staged(_bills_to_refresh(spark, base, bronze, watermarks), "affected-bills")
+        ids = staged(_bills_to_refresh(spark, base, new, watermarks), "affected-bills")
         if not _may_run(spark, base, "silver", "billRequest", run_time, ids):
             return False
-        changed = _write_merged(spark, base, bronze, ids, watermarks, run_time)
+        changed = _write_merged(spark, base, ids, watermarks, run_time)
+    new["storeDetails"] = bronze_table(spark, base, "storeDetails", watermarks["storeDetails"])
     for name in (*BILL_INPUTS, "storeDetails"):
-        new = incremental_load(bronze[name], "trans_time", watermarks[name])
-        advance_watermark(new, base, "silver", name, "trans_time", run_time)
+        advance_watermark(new[name], base, "silver", name, "trans_time", run_time)
     return changed
 
 
+def bronze_of_bills(spark: SparkSession, base: str, ids: DataFrame) -> dict[str, DataFrame]:
+    """The bronze inputs, cut to the folders that may hold rows of the bills in ``ids``.
+
+    At most one number per bucket reaches the driver.
+    """
+    touched = ids.select(bill_bucket(F.col("billId")).alias("bucket")).distinct()
+    buckets = sorted(row["bucket"] for row in touched.collect())
+    inputs = {name: bronze_table(spark, base, name, buckets=buckets) for name in BILL_INPUTS}
+    return {**inputs, "storeDetails": bronze_table(spark, base, "storeDetails")}
+
+
 def _silver_bills_kept(spark: SparkSession, base: str) -> DataFrame | None:
     """Silver bills with their month folder, or ``None`` before the first load."""
     try:
@@ -224,6 +261,9 @@ def _bills_to_refresh(
         return ids
     loaded = incremental_load(bronze["storeDetails"], "trans_time", watermarks["storeDetails"])
     names = current_stores(bronze["storeDetails"]).join(loaded.select("storeId").distinct(), "storeId", "left_semi")
+    names = staged(names, "loaded-stores")
+    if names.isEmpty():
+        return ids
     renamed = (
         old.select("billId", "storeId", "storeName")
         .join(names.withColumnRenamed("storeName", "newName"), "storeId")
@@ -235,15 +275,14 @@ def _bills_to_refresh(
 def _write_merged(
     spark: SparkSession,
     base: str,
-    bronze: dict[str, DataFrame],
     ids: DataFrame,
     watermarks: dict[str, dt.datetime | None],
     run_time: dt.datetime,
 ) -> bool:
     if all(mark is None for mark in watermarks.values()):
-        fresh = silver_bills(bronze, run_time)
+        fresh = silver_bills(_bronze_since(spark, base, watermarks), run_time)
     else:
-        fresh = refreshed_bills(bronze, ids, run_time)
+        fresh = refreshed_bills(bronze_of_bills(spark, base, ids), ids, run_time)
     fresh = staged(bills_to_write(fresh).withColumn(MONTH_FOLDER, month_folder()), "fresh-bills")
     if fresh.isEmpty():
         return False
@@ -268,7 +307,7 @@ def _write_into_months(
             return
         months = F.col(MONTH_FOLDER).between(first, last)
         inside = old.where(months).join(touched.where(months), key, "left_semi")
-        fresh = staged(kept(inside).unionByName(fresh), "merged-bills")
+        fresh = kept(inside).unionByName(fresh)
     replace_partitions(fresh, data_path(base, "silver", "all_bills"), key)
 
 
@@ -282,26 +321,26 @@ def load_silver_items(
     it once per environment, each with its own base folder. Returns the row count.
     """
     run_time = run_minute(run_time)
-    since = files_read_until(spark, base, "silver", "all_items")
-    path = data_path(base, "bronze", "items-bronze")
-    source, files_until = new_source_rows(spark, path, BRONZE["items-bronze"], since)
+    files = unread_files(spark, data_path(base, "bronze", "items-bronze"), base, "silver", "all_items")
+    if not files:
+        return 0
+    source = rows_of(spark, files, BRONZE["items-bronze"])
     watermark = read_watermark(spark, base, "silver", "all_items")
     if skip_if_up_to_date and is_up_to_date(source, watermark):
         return 0
     new = incremental_load(source, "load_time", watermark)
     if not _may_run(spark, base, "silver", "all_items", run_time, new):
         return 0
-    path = data_path(base, "silver", "all_items")
-    append_batch(silver_items(source, run_time, watermark), path, run_time, by_month=True)
-    rows = silver_items_batch(spark, base, run_time).count()
+    path, schema = data_path(base, "silver", "all_items"), SILVER["all_items"]
+    commit = append_batch(silver_items(new, run_time), path, run_time, by_month=True)
+    rows = _commit_rows(spark, path, schema, commit).count()
+    record_files(spark, files, base, "silver", "all_items", run_time.strftime(BATCH_FORMAT))
     if rows:
-        advance_watermark(new, base, "silver", "all_items", "load_time", run_time, files_until=files_until)
+        advance_watermark(new, base, "silver", "all_items", "load_time", run_time)
+    merge_commits(spark, path, _all_columns(spark, path), {})
     return rows
 
 
-def silver_items_batch(spark: SparkSession, base: str, run_time: dt.datetime) -> DataFrame:
-    """The item lines that the load of ``run_time`` has written, from its folders only."""
-    fields = StructType([*SILVER["all_items"].fields, StructField("batch", StringType())])
-    path, types = data_path(base, "silver", "all_items"), {"batch": "string", MONTH_FOLDER: "string"}
-    rows = read_partitioned(spark, path, types, StructType([*fields.fields, StructField(MONTH_FOLDER, StringType())]))
-    return rows.where(F.col("batch") == run_time.strftime(BATCH_FORMAT)).select(*SILVER["all_items"].names)
+def _all_columns(spark: SparkSession, path: str) -> StructType:
+    """The columns of all commits: loads keep columns that are not declared."""
+    return spark.read.option("mergeSchema", "true").parquet(path).drop(COMMIT).schema

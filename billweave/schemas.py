@@ -9,6 +9,7 @@ from pyspark.sql.types import (
     BooleanType,
     DateType,
     DoubleType,
+    LongType,
     StringType,
     StructField,
     StructType,
@@ -19,6 +20,7 @@ from pyspark.sql.types import (
 _TYPES = {
     "string": StringType(),
     "double": DoubleType(),
+    "long": LongType(),
     "boolean": BooleanType(),
     "date": DateType(),
     "timestamp_ntz": TimestampNTZType(),
@@ -97,6 +99,6 @@ SILVER = {
     "all_items": BRONZE["items-bronze"],
 }
 
-WATERMARK = _schema(
-    "collection string, watermark timestamp_ntz, run_time timestamp_ntz, files_until timestamp_ntz"
-)
+WATERMARK = _schema("collection string, watermark timestamp_ntz, run_time timestamp_ntz")
+
+LEDGER = _schema("path string, length long, millis long")

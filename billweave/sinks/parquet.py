@@ -1,7 +1,8 @@
 """Writers of parquet datasets.
 
-Writes into partitions go through ``rebalance``: rows of one partition value come
-together in a few files, small values share a task, and a value that holds much of the
+Each write is one commit of a versioned table (``billweave.versions``): readers see all of
+it or nothing. Writes into partitions go through ``rebalance``: rows of one partition value
+come together in a few files, small values share a task, and a value that holds much of the
 data is split over several tasks. Rows that already lie together are written where they
 are, without a shuffle.
 """
@@ -15,24 +16,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from billweave.functions.calendar import MONTH_FOLDER, month_folder
+from billweave.versions import commit
 
 # Fixed value: how a batch is named after the minute of its run.
 BATCH_FORMAT = "%Y%m%d_%H%M"
 
+# Partition columns of the bronze tables of bills: the day of the load, and one of so many
+# buckets that a bill's id falls into.
+LOAD_DAY, BILL_BUCKET = "loadDay", "billBucket"
+BILL_BUCKETS = 16
+
+
+def bill_bucket(bill: Column) -> Column:
+    return F.pmod(F.xxhash64(bill), F.lit(BILL_BUCKETS)).cast("int")
+
 
 def _replace_partitions(
     df: DataFrame, path: str, columns: Sequence[str], order: Sequence[Column] = (), spread: bool = True
 ) -> None:
-    if spread:
-        df = df.hint("rebalance", *columns)
-    if order:
-        df = df.sortWithinPartitions(*columns, *order)
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*columns)
-        .parquet(path)
-    )
+    commit(df, path, columns, hint=columns if spread else (), order=order)
 
 
 def publish(
@@ -50,23 +52,18 @@ def publish(
     _replace_partitions(df, path, [partition_by], order, spread)
 
 
-def _batch(run_time: dt.datetime) -> Column:
-    return F.lit(run_time.strftime(BATCH_FORMAT))
-
-
 def append_batch(
     df: DataFrame, path: str, run_time: dt.datetime, by_month: bool = False, name: str | None = None
-) -> None:
-    """Add a batch named after its minute; writing the same minute again replaces it.
+) -> str:
+    """Add a batch named after its minute; the same minute again replaces it. Returns the commit.
 
-    With ``by_month`` the batch lies in the folders of the months of ``createdAt``. A
-    ``name`` takes the place of the minute.
+    With ``by_month`` the rows lie in the folders of the months of ``createdAt``. A ``name``
+    takes the place of the minute.
     """
-    batch = df.withColumn("batch", F.lit(name) if name else _batch(run_time))
+    label = name or run_time.strftime(BATCH_FORMAT)
     if by_month:
-        _replace_partitions(batch.withColumn(MONTH_FOLDER, month_folder()), path, [MONTH_FOLDER, "batch"])
-    else:
-        _replace_partitions(batch, path, ["batch"], spread=False)
+        return commit(df.withColumn(MONTH_FOLDER, month_folder()), path, [MONTH_FOLDER], label, hint=[MONTH_FOLDER])
+    return commit(df, path, [], label)
 
 
 def append_stamped(df: DataFrame, path: str, stamp: str = "trans_time") -> None:
@@ -74,6 +71,18 @@ def append_stamped(df: DataFrame, path: str, stamp: str = "trans_time") -> None:
     _replace_partitions(df, path, [stamp], spread=False)
 
 
+def append_by_bill(df: DataFrame, path: str, label: str, stamp: str = "trans_time") -> str:
+    """Add rows by the day of their stamp and the bucket of their bill; returns the commit.
+
+    Reads of what is new select days, and lookups of bills select buckets. The same label
+    again replaces its rows.
+    """
+    placed = df.withColumn(LOAD_DAY, F.col(stamp).cast("date").cast("string")).withColumn(
+        BILL_BUCKET, bill_bucket(F.col("billId"))
+    )
+    return commit(placed, path, [LOAD_DAY, BILL_BUCKET], label, hint=[LOAD_DAY, BILL_BUCKET])
+
+
 def replace_partitions(df: DataFrame, path: str, columns: Sequence[str]) -> None:
     """Replace exactly the partitions that occur in ``df``."""
     _replace_partitions(df, path, columns)

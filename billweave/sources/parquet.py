@@ -1,20 +1,27 @@
-"""Readers of parquet collections."""
+"""Readers of parquet collections, and of the versioned tables the package writes."""
 
 from __future__ import annotations
 
-import datetime as dt
 import functools
-from collections.abc import Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
-from typing import NamedTuple
-
+import hashlib
+import io
+import re
+from collections.abc import Iterable, Iterator, Mapping
+
+import pyarrow as pa
+import pyarrow.fs
+import pyarrow.parquet
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType, StructField, StructType
 
 from billweave.functions.calendar import MONTH_FOLDER
+from billweave.versions import COMMIT, current, read_version
 
-_FOOTER_READERS = 16
+#: Stores whose files a task opens by itself, reading their ends only. In others Spark
+#: brings the task each file whole.
+_OPENED_IN_TASKS = ("file:", "hdfs:")
+_FOOTERS_A_TASK = 100
 
 
 def _subtree(spark: SparkSession) -> DataFrameReader:
@@ -22,47 +29,48 @@ def _subtree(spark: SparkSession) -> DataFrameReader:
 
 
 def read_collection(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """All parquet files at or below ``path``, under a declared schema."""
+    """All parquet files at or below ``path``, under a declared schema; of a table those that count."""
+    version = current(spark, path)
+    if version is not None:
+        return read_version(spark, path, version, {}, schema).select(*schema.names)
     return _subtree(spark).schema(schema).parquet(path)
 
 
-class DataFile(NamedTuple):
-    path: str
-    modified: dt.datetime
+def data_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, length, millis) of the parquet files at or below ``path``; none is opened."""
+    reader = _subtree(spark).format("binaryFile").option("pathGlobFilter", "*.parquet")
+    return reader.load(path).select("path", "length", F.unix_millis("modificationTime").alias("millis"))
 
 
-def data_files(spark: SparkSession, path: str, since: dt.datetime | None = None) -> list[DataFile]:
-    """The files at or below ``path``, in path order; with ``since`` those changed then or later.
-
-    Spark lists the folders; only files that are wanted come to the driver. Times are UTC.
-    """
-    reader = _subtree(spark).format("binaryFile").option("pathGlobFilter", "*.parquet")
-    if since is not None:
-        # The option has whole seconds and is strict.
-        after = since.replace(microsecond=0) - dt.timedelta(seconds=1)
-        reader = reader.option("timeZone", "UTC").option("modifiedAfter", after.isoformat())
-    found = reader.load(path).select("path", F.unix_millis("modificationTime").alias("millis")).collect()
-    epoch = dt.datetime(1970, 1, 1)
-    files = [DataFile(row["path"], epoch + dt.timedelta(milliseconds=row["millis"])) for row in found]
-    return sorted(f for f in files if since is None or f.modified >= since)
+def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Files, by path or with their content, to a hash of the schema in their footers."""
+    for batch in batches:
+        found, columns = [], batch.to_pydict()
+        for i, path in enumerate(columns["path"]):
+            if "content" in columns:
+                schema = pyarrow.parquet.ParquetFile(io.BytesIO(columns["content"][i])).schema
+            else:
+                store, inside = pyarrow.fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
+                with store.open_input_file(inside) as file:
+                    schema = pyarrow.parquet.ParquetFile(file).schema
+            # The first line names the library that wrote the file, and where it lies.
+            found.append(hashlib.md5("\n".join(str(schema).split("\n")[1:]).encode()).hexdigest())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], ["path", "schema"])
 
 
 def _by_schema(spark: SparkSession, files: list[str]) -> list[tuple[StructType, list[str]]]:
-    """Files grouped by the schema in their footers; one Spark schema per group."""
-    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    parquet = jvm.org.apache.parquet.hadoop
-
-    def footer(file: str) -> str:
-        reader = parquet.ParquetFileReader.open(parquet.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(file), conf))
-        try:
-            return reader.getFileMetaData().getSchema().toString()
-        finally:
-            reader.close()
+    """Files grouped by the schema in their footers; one Spark schema per group.
 
+    The footers are read in one job, however many files there are; a hash of each comes back.
+    """
+    if all(f.startswith(_OPENED_IN_TASKS) for f in files):
+        rows = spark.createDataFrame([(f,) for f in files], "path string")
+        source = rows.repartition(-(-len(files) // _FOOTERS_A_TASK))
+    else:
+        source = spark.read.format("binaryFile").load(files).select("path", "content")
     groups: dict[str, list[str]] = {}
-    with ThreadPoolExecutor(_FOOTER_READERS) as pool:
-        for file, schema in zip(files, pool.map(footer, files)):
-            groups.setdefault(schema, []).append(file)
+    for row in sorted(source.mapInArrow(_footers, "path string, schema string").collect()):
+        groups.setdefault(row["schema"], []).append(row["path"])
     return [(spark.read.parquet(group[0]).schema, group) for group in groups.values()]
 
 
@@ -78,8 +86,9 @@ def read_union_by_name(
     together, so the plan grows with the number of distinct schemas only.
     """
     paths = list(paths)
-    files = [p for p in paths if p.endswith(".parquet") and not _is_folder(spark, p)]
-    files += [f.path for p in paths if p not in files for f in data_files(spark, p)]
+    folders = [p for p in paths if not p.endswith(".parquet") or _is_folder(spark, p)]
+    files = [p for p in paths if p not in set(folders)]
+    files += [row["path"] for p in folders for row in data_files(spark, p).select("path").collect()]
     if not files:
         if declared is None:
             raise ValueError("no files to read")
@@ -121,11 +130,15 @@ def read_partitioned(
     partition_types: Mapping[str, str],
     schema: StructType | None = None,
 ) -> DataFrame:
-    """A dataset laid out in ``column=value`` folders.
+    """A dataset laid out in ``column=value`` folders, the newest version of it if it has any.
 
     The partition columns get the given types instead of guessed ones, so ``0012``
     stays a string. Filters on them select folders.
     """
+    version = current(spark, path)
+    if version is not None:
+        rows = read_version(spark, path, version, partition_types, schema)
+        return rows.drop(COMMIT) if schema is None else rows.select(*[F.col(f"`{c}`") for c in schema.names])
     data = spark.read.parquet(path).schema if schema is None else schema
     fields = StructType([f for f in data.fields if f.name not in partition_types])
     for name, kind in partition_types.items():
@@ -138,9 +151,9 @@ def read_by_month(
     spark: SparkSession, path: str, partition_types: Mapping[str, str], schema: StructType
 ) -> DataFrame:
     """``read_partitioned``, with the month folder as a column where the layout has one."""
-    types = {**partition_types, MONTH_FOLDER: "string"}
+    version = current(spark, path)
+    columns = spark.read.parquet(path).columns if version is None else version.columns
+    if MONTH_FOLDER not in columns:
+        return read_partitioned(spark, path, partition_types, schema)
     fields = StructType([*schema.fields, StructField(MONTH_FOLDER, StringType())])
-    rows = read_partitioned(spark, path, types, fields)
-    file = rows.select("_metadata.file_path").first()
-    in_folders = file is not None and f"/{MONTH_FOLDER}=" in file[0]
-    return rows if in_folders else rows.drop(MONTH_FOLDER)
+    return read_partitioned(spark, path, {**partition_types, MONTH_FOLDER: "string"}, fields)

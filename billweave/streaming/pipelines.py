@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import zlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,11 +11,10 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from billweave.operators.dedupe import ITEM_KEY
-from billweave.operators.incremental import incremental_load
-from billweave.plans.etl import write_bronze
+from billweave.plans.etl import rows_of, write_bronze
 from billweave.schemas import RAW
-from billweave.sources.parquet import read_union_by_name
-from billweave.sources.watermark import read_watermark
+from billweave.sources.ledger import unread
+from billweave.sources.watermark import last_run
 
 
 def _as_instant(naive: Column) -> Column:
@@ -46,22 +46,18 @@ def append_available(rows: DataFrame, path: str, checkpoint: str, *partition_by:
     return writer.trigger(availableNow=True).start(path)
 
 
-def _has_run(spark: SparkSession, checkpoint: str) -> bool:
-    commits = spark._jvm.org.apache.hadoop.fs.Path(checkpoint, "commits")
-    return commits.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(commits)
-
-
 def stream_bronze(
     spark: SparkSession, raw_base: str, base: str, collection: str, checkpoint: str, files_per_batch: int = 1000
 ) -> StreamingQuery:
-    """New raw files of a collection to bronze, into the folder the batch load writes.
+    """New raw files of a collection to bronze, into the table the batch load writes.
 
     The stream is one of files; each batch reads its files as the batch load does, so
-    they may differ in their columns, and writes with its sinks. A batch is stamped with
-    the time its newest file was written, told apart by the batch's number, so a batch
-    that is repeated replaces itself. Files the batch load has read before the first
-    stream are left out by the rows' load time; the watermark moves with each batch, so
-    batch loads go on from there.
+    they may differ in their columns, and writes with its sinks. Files that are in the
+    ledger, from batch loads or another stream, are left out; those of the batch are
+    added to it, and the watermark moves with each batch, so batch loads go on from there.
+    A batch is labelled with the stream and its number, so a batch that is repeated
+    replaces itself, and stamped with the time it is written, which is after that of all
+    loads before, so silver loads find it however old its files are.
     """
     arrivals = (
         spark.readStream.format("binaryFile")
@@ -70,19 +66,19 @@ def stream_bronze(
         .option("pathGlobFilter", "*.parquet")
         .option("maxFilesPerTrigger", files_per_batch)
         .load(f"{raw_base}/{collection}/data")
-        .select("path", F.unix_millis("modificationTime").alias("millis"))
+        .select("path", "length", F.unix_millis("modificationTime").alias("millis"))
     )
-    # Only what the batch load has read before the stream's first start is left out.
-    begun = None if _has_run(spark, checkpoint) else read_watermark(spark, base, "bronze", collection)
+    stream = f"stream-{zlib.crc32(checkpoint.encode()):08x}"
 
     def load(batch: DataFrame, number: int) -> None:
-        files = batch.collect()
+        files = unread(batch, base, "bronze", collection)
         if not files:
             return
-        newest = dt.datetime(1970, 1, 1) + dt.timedelta(milliseconds=max(f["millis"] for f in files))
-        stamp = newest + dt.timedelta(microseconds=number % 1000)
-        raw = incremental_load(read_union_by_name(spark, [f["path"] for f in files], RAW[collection]), "load_time", begun)
-        write_bronze(raw, base, collection, stamp, name=f"stream_{number:09d}", files_until=newest)
+        before = last_run(spark, base, "bronze", collection)
+        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        stamp = now if before is None else max(now, before + dt.timedelta(microseconds=1))
+        rows = rows_of(spark, files, RAW[collection])
+        write_bronze(rows, base, collection, stamp, files, name=f"{stream}-{number:09d}")
 
     return (
         arrivals.writeStream.foreachBatch(load)
@@ -114,3 +110,36 @@ def daily_sales(bills: DataFrame, delay: str = "1 day", time: str = "createdAt")
         .agg(F.sum("billAmount").alias("total_sales"))
         .select("storeId", F.to_date(_as_naive(F.col("window.start"))).alias("date"), "total_sales")
     )
+
+
+def held_sales(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Sales of the days that the stream of ``daily_sales`` has not given out yet.
+
+    Read from the state the last batch has left. Such a day may still grow; the stream
+    gives it out, once and for good, when its delay has passed.
+    """
+    state = spark.read.format("statestore").load(checkpoint)
+    return state.select(
+        F.col("key.storeId").alias("storeId"),
+        F.to_date(_as_naive(F.col("key.window.start"))).alias("date"),
+        F.col("value.sum").alias("total_sales"),
+    )
+
+
+def sales_so_far(spark: SparkSession, path: str, checkpoint: str) -> DataFrame:
+    """All days: those the stream has written to ``path``, and those it holds (``final`` false).
+
+    Take it between runs of the stream. A day stands in one of the two.
+    """
+    given = spark.read.schema("storeId string, date date, total_sales double").parquet(path)
+    held = held_sales(spark, checkpoint)
+    return given.withColumn("final", F.lit(True)).union(held.withColumn("final", F.lit(False)))
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """How many rows a stream has left out, in its latest batches, as they came too late."""
+    return sum(
+        int(operator.numRowsDroppedByWatermark)
+        for progress in query.recentProgress
+        for operator in progress.stateOperators
+    )

@@ -1,26 +1,33 @@
 """Raw to bronze to silver on folders, with late, repeated and broken rows."""
 
 import datetime as dt
+import os
+import re
+import shutil
+import tempfile
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from billweave import versions
 from billweave.operators import bronze as bronze_operators
 from billweave.operators.incremental import incremental_load, is_up_to_date, max_timestamp, run_minute
 from billweave.plans import etl
 from billweave.plans.publishing import silver_bills_table, silver_items_table
 from billweave.schemas import BRONZE, RAW, SILVER
 from billweave.sinks.parquet import append_batch, append_stamped, publish
+from billweave.sources import parquet
+from billweave.sources.ledger import ledger_path, read_ledger, unread_files
 from billweave.sources.parquet import data_files, read_collection, read_partitioned, read_union_by_name
 from billweave.sources.watermark import (
     KEPT_ROWS,
-    files_read_until,
     last_run,
     parse_watermark,
     read_watermark,
     write_watermark,
 )
+from tests.test_plans import plan_of
 
 
 def at(hour, minute=0, day=1):
@@ -343,17 +350,150 @@ def test_a_late_store_reaches_its_bills(spark, folder):
     assert not etl.upsert_silver_bills(spark, folder, at(20))
 
 
-def test_loads_do_not_pile_up_files(spark, folder):
-    """One bill a load, all in one store month: new files are read once and the month stays small."""
-    for number in range(12):
+def files_of(spark, path):
+    return data_files(spark, path).count()
+
+
+def test_loads_do_not_pile_up_files(spark, folder, monkeypatch):
+    """One bill a load, all in one store month: new files are read once and the tables stay small."""
+    monkeypatch.setattr(versions.merge_commits, "__defaults__", (3,))
+    listed = []
+    for number in range(7):
         add_raw(spark, folder, str(number), billRequest=[request(str(number), at(1, number))])
-        raw = f"{folder}/raw/billRequest/data"
-        since = files_read_until(spark, folder, "bronze", "billRequest")
-        assert len(data_files(spark, raw, since)) <= 2
+        new = unread_files(spark, f"{folder}/raw/billRequest/data", folder, "bronze", "billRequest")
+        assert len(new) == 1
         etl.load_bronze(spark, f"{folder}/raw", folder, "billRequest", at(10, number))
-        if number == 0:
-            etl.load_all_bronze(spark, f"{folder}/raw", folder, at(10, 30))
-        etl.append_silver_bills(spark, folder, at(12, number))
-    assert silver_bills_table(spark, folder).count() == 12
-    assert len(data_files(spark, f"{folder}/silver/all_bills/data")) <= 4
-    assert len(data_files(spark, f"{folder}/bronze/billRequest/watermark")) <= KEPT_ROWS
+        assert not unread_files(spark, f"{folder}/raw/billRequest/data", folder, "bronze", "billRequest")
+        if number % 3 == 0:
+            etl.append_silver_bills(spark, folder, at(12, number))
+        version = versions.current(spark, f"{folder}/bronze/billRequest/data")
+        listed.append(len(version.commits))
+    etl.append_silver_bills(spark, folder, at(13))
+    # Levels of three: at most two commits each.
+    assert max(listed) <= 6
+    assert rows(etl.bronze_table(spark, folder, "billRequest"), "billId") == sorted((str(n),) for n in range(7))
+    assert silver_bills_table(spark, folder).count() == 7
+    assert files_of(spark, f"{folder}/silver/all_bills/data") <= 4
+    assert files_of(spark, f"{folder}/bronze/billRequest/watermark") <= KEPT_ROWS
+    assert len(versions.current(spark, ledger_path(folder, "bronze", "billRequest")).commits) <= 6
+
+
+def write_file(spark, path, name, df, modified):
+    """One parquet file of a given name and time of change."""
+    draft = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    df.coalesce(1).write.mode("append").parquet(draft)
+    os.makedirs(path, exist_ok=True)
+    found = next(f for f in os.listdir(draft) if f.endswith(".parquet"))
+    shutil.copyfile(f"{draft}/{found}", f"{path}/{name}")
+    os.utime(f"{path}/{name}", (modified, modified))
+
+
+def test_files_committed_late_are_read_once(spark, folder):
+    """A file older than the last one read, with newer rows, and a copy that keeps its time."""
+    path, now = f"{folder}/raw/billRequest/data/a", 1_700_000_000
+    write_file(spark, path, "1.parquet", raw_rows(spark, "billRequest", request("1", at(10))), now + 1200)
+    assert etl.load_bronze(spark, f"{folder}/raw", folder, "billRequest", at(12)) == at(10)
+    write_file(spark, path, "2.parquet", raw_rows(spark, "billRequest", request("2", at(11))), now + 300)
+    assert etl.load_bronze(spark, f"{folder}/raw", folder, "billRequest", at(13)) == at(11)
+    write_file(spark, path, "3.parquet", raw_rows(spark, "billRequest", request("3", at(11, 30))), now + 300)
+    assert etl.load_bronze(spark, f"{folder}/raw", folder, "billRequest", at(14)) == at(11, 30)
+    assert etl.load_bronze(spark, f"{folder}/raw", folder, "billRequest", at(15)) is None
+    assert rows(etl.bronze_table(spark, folder, "billRequest"), "billId") == [("1",), ("2",), ("3",)]
+    # A file that is written anew, longer than before, is a new file.
+    more = raw_rows(spark, "billRequest", request("3", at(11, 30)), request("4", at(16)), request("5", at(16)))
+    write_file(spark, path, "3.parquet", more, now + 300)
+    assert etl.load_bronze(spark, f"{folder}/raw", folder, "billRequest", at(17)) == at(16)
+    assert etl.bronze_table(spark, folder, "billRequest").count() == 5
+    assert read_ledger(spark, folder, "bronze", "billRequest").count() == 4
+
+
+def test_item_files_committed_late(spark, folder):
+    path, schema = f"{folder}/bronze/items-bronze/data/a", BRONZE["items-bronze"]
+    line = lambda bill, load: spark.createDataFrame([(bill, at(1), "tea", "5", "S1", load)], schema)
+    write_file(spark, path, "1.parquet", line("1", at(10)), 1_700_001_200)
+    assert etl.load_silver_items(spark, folder, at(12)) == 1
+    write_file(spark, path, "2.parquet", line("2", at(11)), 1_700_000_300)
+    assert etl.load_silver_items(spark, folder, at(13)) == 1
+    assert etl.load_silver_items(spark, folder, at(14)) == 0
+    assert rows(silver_items_table(spark, folder), "billId") == [("1",), ("2",)]
+
+
+def test_a_load_that_died_before_its_ledger_is_repeated(spark, folder, monkeypatch):
+    add_raw(spark, folder, "1", billRequest=[request("1", at(1)), request("2", at(1))])
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(etl, "record_files", dies)
+        with pytest.raises(RuntimeError):
+            etl.load_bronze(spark, f"{folder}/raw", folder, "billRequest", at(3))
+    add_raw(spark, folder, "2", billRequest=[request("3", at(2))])
+    assert etl.load_bronze(spark, f"{folder}/raw", folder, "billRequest", at(3)) == at(2)
+    assert rows(etl.bronze_table(spark, folder, "billRequest"), "billId") == [("1",), ("2",), ("3",)]
+
+
+def test_an_upsert_reads_the_buckets_of_its_bills(spark, folder):
+    """Folder filters on all four inputs; the files read do not grow with the loads before."""
+    read = []
+    for number in range(4):
+        bills = [f"{number}-{i}" for i in range(40 if number == 0 else 1)]
+        add_raw(
+            spark, folder, str(number),
+            billRequest=[request(b, at(1, number)) for b in bills],
+            invoiceExtractedData=[invoice(b, at(1, number), "{'value': 1}") for b in bills],
+            receiptExtractedData=[receipt(b, at(1, number), "{'value': 2}") for b in bills],
+            billtransactions=[transaction(b, at(1, number), "3") for b in bills],
+        )
+        etl.load_all_bronze(spark, f"{folder}/raw", folder, at(10, number))
+        etl.upsert_silver_bills(spark, folder, at(12, number))
+        ids = spark.createDataFrame([(b,) for b in bills], "billId string")
+        inputs = etl.bronze_of_bills(spark, folder, ids)
+        files = [f for name in etl.BILL_INPUTS for f in inputs[name].select("_metadata.file_path").distinct().collect()]
+        read.append(len(files))
+        if number:
+            for name in etl.BILL_INPUTS:
+                assert re.search(r"PartitionFilters: .*billBucket#", plan_of(inputs[name])), plan_of(inputs[name])
+    assert max(read[1:]) <= 4 * 4 < read[0]
+    assert silver_bills_table(spark, folder).count() == 43
+
+
+def drifted_files(spark, path, count):
+    """Many files, of three kinds of footer in turn."""
+    kinds = [
+        spark.range(1).select(F.col("id").cast("int").alias("a")),
+        spark.range(1).select("id", F.lit("abc").alias("amount")),
+        spark.range(1).select(F.col("id").alias("a"), F.lit(2.5).alias("amount")),
+    ]
+    os.makedirs(path)
+    for k, df in enumerate(kinds):
+        draft = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        df.coalesce(1).write.mode("append").parquet(draft)
+        found = next(f for f in os.listdir(draft) if f.endswith(".parquet"))
+        for i in range(k, count, 3):
+            shutil.copyfile(f"{draft}/{found}", f"{path}/{i}.parquet")
+
+
+def test_schemas_of_many_files_come_from_one_job(spark, folder):
+    drifted_files(spark, f"{folder}/many", 600)
+    paths = [row["path"] for row in data_files(spark, f"{folder}/many").collect()]
+    spark.sparkContext.setJobGroup("footers", "footers")
+    try:
+        groups = parquet._by_schema(spark, paths)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("footers")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(len(files) for _, files in groups) == [200, 200, 200]
+    assert len(jobs) <= 8  # the grouping, and one look per schema
+    declared = StructType().add("a", "long").add("amount", "double")
+    found = read_union_by_name(spark, [f"{folder}/many"], declared)
+    assert found.count() == 600 and found.where("amount = 2.5").count() == 200
+
+
+def test_schemas_of_files_only_spark_can_open(spark, folder, monkeypatch):
+    monkeypatch.setattr(parquet, "_OPENED_IN_TASKS", ())
+    drifted_files(spark, f"{folder}/some", 9)
+    declared = StructType().add("a", "long").add("amount", "double")
+    assert rows(read_union_by_name(spark, [f"{folder}/some"], declared), "a", "amount", "id") == sorted(
+        [(0, None, None)] * 3 + [(None, None, 0)] * 3 + [(0, 2.5, None)] * 3, key=str
+    )

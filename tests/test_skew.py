@@ -10,6 +10,7 @@ from billweave.operators import customers, products, purchases, silver
 from billweave.operators.segments import rfm_segments
 from billweave.schemas import BRONZE
 from billweave.sinks.parquet import publish
+from billweave.sources.parquet import read_partitioned
 
 A = dt.date(2024, 3, 31)
 ROWS = 60_000
@@ -95,7 +96,7 @@ def test_hot_bill_is_split_in_the_purchase_join(spark, bills, items):
 def test_hot_store_is_written_by_several_tasks(spark, bills, folder):
     with settings(spark, **SMALL):
         publish(bills, folder + "/out")
-    found = spark.read.parquet(folder + "/out")
+    found = read_partitioned(spark, folder + "/out", {"storeId": "string"})
     files = dict(found.groupBy("storeId").agg(F.count_distinct("_metadata.file_path")).collect())
     assert files["S0"] > 3 and sum(files.values()) < 50 * 4
     assert found.count() == ROWS
@@ -131,16 +132,21 @@ def test_repeat_customers_of_a_hot_number(bills):
     ).distinct().count() - repeat.count() == ROWS
 
 
-def test_pairs_of_a_hot_bill_are_spread(spark, items):
-    """One basket of 600 items, in blocks of 50: 78 couples of blocks."""
-    wide = spark.range(600).select(
+def test_pairs_of_a_hot_bill_are_spread(spark):
+    """One basket of 5,000 items: twelve million pairs, about as many in each task."""
+    n = 5000
+    wide = spark.range(n).select(
         F.lit("b").alias("billId"),
         F.lit("S0").alias("storeId"),
         F.lit("2024-03-01 00:00:00").cast("timestamp_ntz").alias("createdAt"),
-        F.concat(F.lit("i"), F.col("id").cast("string")).alias("itemName"),
+        F.format_string("i%05d", "id").alias("itemName"),
     )
-    pairs = products.product_pairs(wide, block=50)
-    assert pairs.count() == 600 * 599 // 2
-    couples = products._pairs_by_block(products.baskets(wide).withColumnRenamed("item_combination", "basket"), 50)
-    sizes = [row["count"] for row in couples.groupBy(F.spark_partition_id()).count().collect()]
-    assert len(sizes) > 1 and max(sizes) < 600 * 599 // 2 * 0.6
+    starts = F.sequence(F.lit(1), F.size("item_combination"), F.lit(100))
+    parts = F.transform(starts, lambda start: F.slice("item_combination", start, F.lit(100)))
+    blocks = products.baskets(wide).select(*products._BASKET, parts.alias("parts")).select(
+        *products._BASKET, F.size("parts").alias("last"), F.posexplode("parts").alias("number", "part")
+    )
+    inside, between = products._pairs_inside(blocks), products._pairs_between(blocks)
+    sizes = [row["count"] for row in between.groupBy(F.spark_partition_id()).count().collect()]
+    assert inside.count() + sum(sizes) == n * (n - 1) // 2
+    assert len(sizes) > 1 and max(sizes) < 1.25 * sum(sizes) / len(sizes)

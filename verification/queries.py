@@ -11,7 +11,7 @@ from pyspark.sql.types import DateType, DoubleType, StructType
 
 from billweave.functions.calendar import MONTH_FOLDER
 from billweave.operators import bronze, silver
-from billweave.operators.incremental import incremental_load, is_up_to_date, max_timestamp
+from billweave.operators.incremental import incremental_load, is_up_to_date, max_timestamp, moment
 from billweave.operators.segments import rfm_segments
 from billweave.plans import etl
 from billweave.plans.publishing import silver_bills_table, silver_items_table
@@ -21,7 +21,7 @@ from billweave.sinks.parquet import publish
 from billweave.sources.parquet import read_partitioned, read_union_by_name
 from billweave.sources.watermark import advance_watermark, watermark_path
 from billweave.staging import new_folder, staged
-from billweave.streaming.pipelines import append_available, daily_sales, first_items, stream_bronze
+from billweave.streaming.pipelines import append_available, daily_sales, first_items, sales_so_far, stream_bronze
 from verification import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -147,7 +147,7 @@ def _union_by_name_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files of one folder: without the priority, with the total as number and as broken text."""
     path = new_folder(spark, "drifted-files")
     orders = fixtures.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority", "o_orderstatus")
-    write = lambda df: df.coalesce(1).write.mode("append").parquet(path)
+    write = lambda df: df.write.mode("append").parquet(path)
     write(orders.where("o_orderstatus = 'F'").drop("o_orderpriority").withColumn("o_orderkey", F.col("o_orderkey").cast("int")))
     write(orders.where("o_orderstatus = 'P'").withColumn("o_totalprice", F.lit("abc")))
     write(orders.where("o_orderstatus not in ('F', 'P')"))
@@ -196,6 +196,48 @@ def _stream_bronze_after_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return etl.bronze_table(spark, base, "billtransactions").select("billId", "billAmount")
 
 
+def _set_back(spark: SparkSession, path: str, hours: int) -> None:
+    """Give all files below a folder an earlier time of change, as a late commit leaves them."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = files.listFiles(folder, True)
+    while found.hasNext():
+        status = found.next()
+        files.setTimes(status.getPath(), status.getModificationTime() - hours * 3_600_000, -1)
+
+
+def _bronze_late_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries; the files of the second are older than those of the first."""
+    base = new_folder(spark, "late-commit")
+    for second, run_time in ((False, fixtures.FIRST_RUN), (True, fixtures.SECOND_RUN)):
+        fixtures.deliver(spark, sf_dir, f"{base}/raw", second)
+        if second:
+            _set_back(spark, f"{base}/raw/billtransactions/data/second", 48)
+        etl.load_bronze(spark, f"{base}/raw", base, "billtransactions", run_time)
+    return etl.bronze_table(spark, base, "billtransactions").select("billId", "billAmount")
+
+
+def _silver_items_late_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item lines in two folders by load time; the files of the later lines are older."""
+    base = new_folder(spark, "late-items")
+    path, lines = f"{base}/bronze/items-bronze/data", fixtures.items(spark, sf_dir)
+    later = F.col("load_time") > moment(fixtures.ITEMS_WATERMARK)
+    for name, part, run_time in (("first", ~later, fixtures.FIRST_RUN), ("second", later, fixtures.SECOND_RUN)):
+        lines.where(part).write.parquet(f"{path}/{name}")
+        if name == "second":
+            _set_back(spark, f"{path}/{name}", 48)
+        etl.load_silver_items(spark, base, run_time)
+    return silver_items_table(spark, base).drop(MONTH_FOLDER)
+
+
+def _stream_daily_sales_so_far(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The days the stream has given out, and the last ones out of its state."""
+    path, checkpoint = new_folder(spark, "stream-sales"), new_folder(spark, "stream-sales-checkpoint")
+    sales = daily_sales(fixtures.event_bill_stream(spark, sf_dir))
+    append_available(sales, path, checkpoint).awaitTermination()
+    return _comparable(sales_so_far(spark, path, checkpoint))
+
+
 def _silver_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.silver_items(fixtures.items(spark, sf_dir), fixtures.RUN_TIME).select(
         "billId", "createdAt", "itemName", "itemPrice", "storeId", "load_time"
@@ -262,4 +304,7 @@ def queries() -> dict[str, Query]:
         "stream_bronze_invoices": _stream_bronze,
         "stream_first_items": _stream_first_bills,
         "stream_daily_sales": _stream_daily_sales,
+        "stream_daily_sales_so_far": _stream_daily_sales_so_far,
+        "bronze_late_commit": _bronze_late_commit,
+        "silver_items_late_commit": _silver_items_late_commit,
     }
