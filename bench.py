@@ -2,7 +2,8 @@
 
 Metrics run over silver tables, which are prepared once from the driver's tables and not
 timed; load steps and streams run over those tables directly. Results go to the noop
-sink, so all rows are computed. ``run_all_metrics`` publishes every metric as parquet
+sink, so all rows are computed. Three metrics of recent months also run over the month
+layout of the loads. ``run_all_metrics`` publishes every metric as parquet
 by store, with the shared rollups.
 
 BENCH_SF_DIR names the tables, BENCH_CPUS the cores, BENCH_RUNS the timed runs of each
@@ -22,14 +23,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from billweave.functions.calendar import MONTH_FOLDER, month_folder
 from billweave.operators.segments import rfm_segments
-from billweave.plans.publishing import run_metrics
+from billweave.plans.publishing import run_metrics, silver_bills_table, silver_items_table
 from billweave.plans.registry import BILLS, ITEMS, METRICS, SEGMENTS
 from billweave.schemas import SILVER
 from billweave.session import build_session
+from billweave.sinks.parquet import append_batch, replace_partitions
 from verification import fixtures
 from verification.queries import ALSO_ON_EVENTS, ON_EVENTS, queries
 
+BY_MONTH = "by month"
+RECENT = ("active_customers_30", "product_sales_this_month", "customer_item_purchase_frequency_last3_month")
+
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
@@ -52,6 +58,13 @@ def prepare(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     for name, (df, path) in written.items():
         df.repartition(int(CPUS)).write.parquet(f"{base}/{path}")
         tables[name] = spark.read.schema(df.schema).parquet(f"{base}/{path}")
+    # The same tables as the loads lay them out, for the metrics that read recent months only.
+    by_month = bills.where("storeId IS NOT NULL").withColumn(MONTH_FOLDER, month_folder())
+    replace_partitions(by_month, f"{base}/months/silver/all_bills/data", ["storeId", MONTH_FOLDER])
+    append_batch(tables[ITEMS], f"{base}/months/silver/all_items/data", fixtures.RUN_TIME, by_month=True)
+    tables[BY_MONTH] = {
+        BILLS: silver_bills_table(spark, f"{base}/months"), ITEMS: silver_items_table(spark, f"{base}/months")
+    }
     return tables
 
 
@@ -64,6 +77,10 @@ def timed_queries(tables: dict[str, DataFrame], base: str) -> dict[str, Callable
         chosen = {**tables, BILLS: tables["event bills"]} if on_events else tables
         return lambda spark: to_noop(METRICS[name](*[chosen[i] for i in METRICS[name].inputs], as_of=as_of))
 
+    def metric_by_month(name: str):
+        chosen = tables[BY_MONTH]
+        return lambda spark: to_noop(METRICS[name](*[chosen[i] for i in METRICS[name].inputs], as_of=fixtures.AS_OF))
+
     found = {name: metric(name, name in ON_EVENTS) for name in METRICS}
     found |= {f"{name}_events": metric(name, True) for name in sorted(ALSO_ON_EVENTS)}
     steps = {name: query for name, query in queries().items() if name not in found}
@@ -74,6 +91,7 @@ def timed_queries(tables: dict[str, DataFrame], base: str) -> dict[str, Callable
         if failed:
             raise failed[0].error
 
+    found |= {f"{name}_by_month": metric_by_month(name) for name in RECENT}
     return found | {"run_all_metrics": publish_all}
 
 

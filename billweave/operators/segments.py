@@ -16,7 +16,6 @@ from pyspark.sql.window import Window
 from billweave.functions.calendar import AsOf, as_of_day
 from billweave.functions.predicates import known_store
 from billweave.operators.rollups import CUSTOMER_KEY, customer_totals
-from billweave.staging import staged
 
 # Percent ranks up to which a customer scores 5, 4, 3 and 2.
 RANK_LIMITS = (0.10, 0.30, 0.60, 0.80)
@@ -135,18 +134,19 @@ def _segment() -> Column:
 
 
 def rfm_segments(bills: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """Scores and segment of each customer of a store (store, mobile number and name)."""
-    customers = staged(
-        customer_totals(bills.where(known_store())).select(
-            *CUSTOMER_KEY,
-            F.datediff(as_of_day(as_of), F.to_date("last_visit")).cast("bigint").alias("recency_days"),
-            F.col("row_count").alias("frequency"),
-            F.col("amount_sum").alias("monetary"),
-        ),
-        "segment-customers",
+    """Scores and segment of each customer of a store (store, mobile number and name).
+
+    Nothing runs before the result is asked for. The customers are named three times in the
+    plan, and shuffled once; give a rollup of customers made before to scan the bills once.
+    """
+    customers = customer_totals(bills.where(known_store())).select(
+        *CUSTOMER_KEY,
+        F.datediff(as_of_day(as_of), F.to_date("last_visit")).cast("bigint").alias("recency_days"),
+        F.col("row_count").alias("frequency"),
+        F.col("amount_sum").alias("monetary"),
     )
-    # Written so that the planner broadcasts it only where its real size allows that.
-    cuts = staged(_store_cuts(customers), "segment-cuts")
+    # One row per store; the planner broadcasts it where its real size allows that.
+    cuts = _store_cuts(customers)
 
     recency = F.coalesce("recency_days", F.lit(_LAST_SLOT))
     scored = (

@@ -40,6 +40,9 @@ class Version:
     commits: dict[str, str] = field(default_factory=dict)
     #: Partition folders in them that do not, as ``commit=.../column=value/...``.
     retired: list[str] = field(default_factory=list)
+    #: Of commits made to replace partitions, the folders that count; so that the next one
+    #: need not look for them.
+    folders: dict[str, list[str]] = field(default_factory=dict)
 
 
 class _Files:
@@ -81,15 +84,6 @@ class _Files:
     def remove(self, path: str) -> None:
         self._system.delete(self.of(path), True)
 
-    def has_data(self, path: str) -> bool:
-        if not self._system.exists(self.of(path)):
-            return False
-        found = self._system.listFiles(self.of(path), True)
-        while found.hasNext():
-            if found.next().getPath().getName().endswith(".parquet"):
-                return True
-        return False
-
 
 def current(spark: SparkSession, path: str) -> Version | None:
     """The newest version, or ``None`` for a folder that has none."""
@@ -99,18 +93,14 @@ def current(spark: SparkSession, path: str) -> Version | None:
         return None
     newest = max(pointers)
     found = json.loads(files.read(f"{path}/{POINTERS}/{newest}"))
-    return Version(int(newest[:9]), found["columns"], found["commits"], found["retired"])
+    return Version(int(newest[:9]), **found)
 
 
-def _partition_folders(spark: SparkSession, path: str) -> DataFrame:
-    """(commit, folder) of all data at or below ``path``; files are listed, none is opened."""
+def _partition_folders(spark: SparkSession, folder: str) -> set[str]:
+    """The partition folders of one commit; its files are listed, none is opened."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    files = reader.option("pathGlobFilter", "*.parquet").load(path)
-    below = F.regexp_extract("path", rf"/{COMMIT}=(.*)/[^/]+$", 1).alias("below")
-    return files.select(below).distinct().select(
-        F.substring_index("below", "/", 1).alias("commit"),
-        F.expr("substring(below, instr(below, '/') + 1)").alias("folder"),
-    )
+    files = reader.option("pathGlobFilter", "*.parquet").load(folder).inputFiles()
+    return {unquote(file).split(folder.rsplit("/", 1)[1] + "/", 1)[1].rsplit("/", 1)[0] for file in files}
 
 
 def _values(folder: str) -> list[str | None]:
@@ -158,21 +148,29 @@ def commit(
     writer = rows.write
     (writer.partitionBy(*columns) if columns else writer).parquet(folder)
 
-    commits, retired = dict(old.commits), list(old.retired)
+    commits, folders, retired = dict(old.commits), dict(old.folders), []
     if merges:
         commits = {c: found for c, found in commits.items() if c not in merges}
     elif label is not None:
         commits = {c: found for c, found in commits.items() if found != label}
-    elif commits and columns:
-        retired += _replaced(spark, files, path, folder, old)
-    elif commits:
+    elif not columns:
         commits = {}
-    emptied = _swept(files, path, old)
-    commits = {c: found for c, found in commits.items() if c not in emptied}
-    # What the last version had retired is gone now, and what this one retires comes next time.
-    retired = [r for r in retired if r not in set(old.retired) and r.split("/")[0].split("=", 1)[1] in commits]
+    else:
+        if set(commits) - set(folders):
+            raise ValueError(f"rows of {path} are added by labels, not replaced")
+        fresh = _partition_folders(spark, folder)
+        for c, mine in old.folders.items():
+            folders[c] = sorted(set(mine) - fresh)
+            if folders[c]:
+                retired += [f"{COMMIT}={c}/{place}" for place in sorted(fresh.intersection(mine))]
+        commits = {c: found for c, found in commits.items() if c not in folders or folders[c]}
+        folders[name] = sorted(fresh)
     commits[name] = label or ""
-    pointer = {"columns": columns, "commits": commits, "retired": retired}
+    _sweep(files, path, old)
+    pointer = {
+        "columns": columns, "commits": commits, "folders": {c: f for c, f in folders.items() if c in commits},
+        "retired": [r for r in retired if r not in set(old.retired)],
+    }
     files.put(f"{path}/{POINTERS}/{number:09d}.json", json.dumps(pointer, indent=1))
     pointers = sorted(n for n in files.names(f"{path}/{POINTERS}") if n.endswith(".json"))
     for outdated in pointers[:-KEPT_POINTERS]:
@@ -180,30 +178,14 @@ def commit(
     return name
 
 
-def _replaced(spark: SparkSession, files: _Files, path: str, folder: str, old: Version) -> list[str]:
-    """Folders of the old commits whose partitions lie in the new commit, too."""
-    if not files.has_data(folder):
-        return []
-    fresh = _partition_folders(spark, folder).select("folder")
-    kept = _partition_folders(spark, path).where(F.col("commit").isin(list(old.commits)))
-    found = kept.join(fresh, "folder", "left_semi").select(F.concat(F.lit(f"{COMMIT}="), F.concat_ws("/", "commit", "folder")))
-    return sorted({row[0] for row in found.collect()} - set(old.retired))
-
-
-def _swept(files: _Files, path: str, old: Version) -> set[str]:
-    """Remove what ``old`` does not name; returns its commits that have no data left."""
+def _sweep(files: _Files, path: str, old: Version) -> None:
+    """Remove what ``old`` does not name: no reader of it, or of a later version, asks for that."""
     for place in old.retired:
         files.remove(f"{path}/{place}")
-    emptied = {
-        c for c in {place.split("/")[0].split("=", 1)[1] for place in old.retired}
-        if not files.has_data(f"{path}/{COMMIT}={c}")
-    }
     for name in files.names(path):
-        if name.startswith(f"{COMMIT}="):
-            c = name.split("=", 1)[1]
-            if c in emptied or (c not in old.commits and int(c[:9]) <= old.number):
-                files.remove(f"{path}/{name}")
-    return emptied
+        c = name.split("=", 1)[-1]
+        if name.startswith(f"{COMMIT}=") and c not in old.commits and int(c[:9]) <= old.number:
+            files.remove(f"{path}/{name}")
 
 
 def live(rows: DataFrame, version: Version) -> DataFrame:
