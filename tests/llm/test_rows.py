@@ -259,6 +259,32 @@ def test_battery_of_uniform_symbols_is_small(spark):
     assert np.median(values[:200]) < 2.3 and max(values[:200]) < 3.7 and values[200] > 3.7
 
 
+def test_ordinary_text_is_taken_from_whole_texts(spark):
+    """What ordinary text gives counts every distinct piece of every text, wherever it lies."""
+    rng = random.Random(8)
+    words = lambda n: "".join(rng.choice("etaoinshrdlu") for _ in range(n))
+    late = ["0123 " * 200 + " ".join(words(rng.randrange(2, 9)) for _ in range(300)) for _ in range(20)]
+    rows = [(i, t) for i, t in enumerate([*late, late[0], None, "", "ABC123 漢字"])]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    letters = ["".join(re.findall(r"\b[a-z]+\b", t or "")) for _, t in rows]
+    pieces = [x[i : i + 40] for x in letters for i in range(0, len(x) - 39, 40)]
+    found = docs.select("doc_id", F.explode(secrets._pieces(F.col("text"))).alias("piece")).orderBy("doc_id").collect()
+    assert len(pieces) > 500 and sorted(r.piece for r in found) == sorted(pieces)
+    known = secrets._ordinary(docs.select(F.inline(secrets._tested(secrets._pieces(F.col("text"))))))
+    prose = "".join(secrets._PROSE.split())
+    cut = [(p, 0) for p in sorted(set(pieces))] + [(prose[i : i + 40], 1) for i in range(0, len(prose) - 39, 40)]
+    values: dict[tuple[int, int], list[float]] = {}
+    cases = [(k, n) for k in secrets._ALPHABETS for n in secrets._LENGTHS]
+    df = spark.createDataFrame(cut, "piece string, every int").withColumn("case", F.pmod(F.xxhash64("piece"), F.lit(16)))
+    for i, (k, n) in enumerate(cases):
+        mine = df.where((F.col("every") == 1) | (F.col("case") == i))
+        x = secrets.battery(F.substring("piece", 1, n), F.lit(k), ordinary=True).alias("x")
+        values[k, n] = [r.x for r in mine.select(x).collect()]
+    assert sum(map(len, values.values())) == len(set(pieces)) + 16 * (len(prose) // 40)
+    for case, xs in values.items():
+        assert known[case] == pytest.approx((np.mean(xs), np.std(xs)))
+
+
 def brute_marginals(scores: np.ndarray, change: np.ndarray) -> np.ndarray:
     n, good, total = len(scores), np.zeros(len(scores)), 0.0
     for code in range(2**n):
