@@ -122,11 +122,12 @@ def bills_to_write(silver: DataFrame) -> DataFrame:
 
 
 def silver_items(
-    items_bronze: DataFrame, run_time: dt.datetime, watermark: dt.datetime | None = None
+    items_bronze: DataFrame, run_time: dt.datetime, watermark: dt.datetime | None = None, by_time: bool = False
 ) -> DataFrame:
     """New item lines, one per bill, time and item, stamped with the time of the run.
 
-    The same function serves every environment; only the tables differ.
+    The same function serves every environment; only the tables differ. With ``by_time``
+    the lines lie in ranges of ``createdAt``, for a layout by month.
     """
     new = incremental_load(items_bronze, "load_time", watermark)
-    return distinct_items(new).withColumn("load_time", moment(run_time))
+    return distinct_items(new, by_time).withColumn("load_time", moment(run_time))

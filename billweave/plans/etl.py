@@ -332,7 +332,7 @@ def load_silver_items(
     if not _may_run(spark, base, "silver", "all_items", run_time, new):
         return 0
     path, schema = data_path(base, "silver", "all_items"), SILVER["all_items"]
-    commit = append_batch(silver_items(new, run_time), path, run_time, by_month=True)
+    commit = append_batch(silver_items(new, run_time, by_time=True), path, run_time, by_month=True, spread=False)
     rows = _commit_rows(spark, path, schema, commit).count()
     record_files(spark, files, base, "silver", "all_items", run_time.strftime(BATCH_FORMAT))
     if rows:

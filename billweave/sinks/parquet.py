@@ -53,16 +53,17 @@ def publish(
 
 
 def append_batch(
-    df: DataFrame, path: str, run_time: dt.datetime, by_month: bool = False, name: str | None = None
+    df: DataFrame, path: str, run_time: dt.datetime, by_month: bool = False, name: str | None = None, spread: bool = True
 ) -> str:
     """Add a batch named after its minute; the same minute again replaces it. Returns the commit.
 
     With ``by_month`` the rows lie in the folders of the months of ``createdAt``. A ``name``
-    takes the place of the minute.
+    takes the place of the minute. Give ``spread=False`` for rows in ranges of ``createdAt``.
     """
     label = name or run_time.strftime(BATCH_FORMAT)
     if by_month:
-        return commit(df.withColumn(MONTH_FOLDER, month_folder()), path, [MONTH_FOLDER], label, hint=[MONTH_FOLDER])
+        hint = [MONTH_FOLDER] if spread else []
+        return commit(df.withColumn(MONTH_FOLDER, month_folder()), path, [MONTH_FOLDER], label, hint=hint)
     return commit(df, path, [], label)
 
 

@@ -296,6 +296,28 @@ def test_silver_items_by_environment(spark, folder):
         assert read_watermark(spark, base, "silver", "all_items") == at(5)
 
 
+def test_item_load_moves_lines_once(spark, folder, monkeypatch):
+    """One shuffle serves the dedupe and the layout by month; no month is scattered over files."""
+    written = []
+    commit = versions.commit
+    monkeypatch.setattr("billweave.sinks.parquet.commit", lambda df, *a, **k: (written.append((df, k["hint"])), commit(df, *a, **k))[1])
+    n = F.col("id")
+    lines = spark.range(40_000).select(
+        (n % 5_000).cast("string").alias("billId"),
+        (F.lit(at(1)).cast("timestamp_ntz") + F.make_dt_interval(hours=n % 5_000)).alias("createdAt"),
+        F.concat(F.lit("item "), (n % 10_000).cast("string")).alias("itemName"),
+        F.lpad(n.cast("string"), 5, "0").alias("itemPrice"), F.lit("S1").alias("storeId"), F.lit(at(2)).cast("timestamp_ntz").alias("load_time"),
+    )
+    lines.select(*BRONZE["items-bronze"].names).repartition(8).write.parquet(f"{folder}/bronze/items-bronze/data/p1")
+    assert etl.load_silver_items(spark, folder, at(3)) == 10_000
+    ((df, hint),) = written
+    assert not hint and len(re.findall(r"(?m)^\(\d+\) Exchange$", plan_of(df))) == 1
+    found = silver_items_table(spark, folder)
+    assert found.count() == 10_000 and found.where("itemPrice < '30000'").count() == 0
+    files = [m.split("/")[0] for m in spark.read.parquet(f"{folder}/silver/all_items/data").inputFiles() for m in m.split("createdMonth=")[1:]]
+    assert len(set(files)) == 7 and len(files) <= 7 + 4
+
+
 def test_items_of_drifted_files(spark, folder):
     path, schema = f"{folder}/bronze/items-bronze/data", BRONZE["items-bronze"]
     first = spark.createDataFrame([("1", at(1), "tea", "5", "S1", at(1))], schema)

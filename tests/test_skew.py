@@ -1,12 +1,13 @@
 """Hot keys: results stay whole and the work is split."""
 
 import datetime as dt
+import re
 from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
 
-from billweave.operators import customers, products, purchases, silver
+from billweave.operators import customers, dedupe, products, purchases, silver
 from billweave.operators.segments import rfm_segments
 from billweave.schemas import BRONZE
 from billweave.sinks.parquet import publish
@@ -115,6 +116,34 @@ def test_copies_of_a_hot_bill_are_gone_before_the_shuffle(spark, bills):
     assert found.count() == bills.select("billId").distinct().count()
 
 
+def test_copies_of_a_hot_line_are_gone_before_lines_lie_by_time(spark, bills, monkeypatch):
+    """A third of the lines are one line again and again, another sixth lack their time."""
+    n = F.col("billAmount")
+    lines = bills.select(
+        "billId",
+        F.when(F.col("billId") == "hot", F.lit(A).cast("timestamp_ntz")).when(n >= 500, F.col("createdAt")).alias("createdAt"),
+        F.when(F.col("billId") != "hot", F.col("name")).alias("itemName"),
+        n.cast("string").alias("itemPrice"), "storeId", F.lit(A).cast("timestamp_ntz").alias("load_time"),
+    )
+    lines = lines.union(lines.where("billId <> 'hot'"))
+    expected = dedupe.distinct_items(lines)
+    key = ("createdAt", "billId", "itemName")
+    assert dedupe._crowded(lines, key) == []
+    monkeypatch.setattr(dedupe, "_MORE", 100)
+    crowded = dedupe._crowded(lines, key)
+    assert crowded == [r[0] for r in lines.where("billId = 'hot'").select(dedupe._key_hash(key)).distinct().collect()]
+    with settings(spark, **SMALL):
+        found = dedupe.distinct_items(lines, by_time=True)
+        # Crowded keys are cut in the tasks that read them, then in one per key, then moved.
+        plan = final_plan(found)
+        others = found.where(~dedupe._key_hash(key).isin(crowded))
+        spans = others.groupBy(F.spark_partition_id()).agg(F.min("createdAt"), F.max("createdAt")).collect()
+    assert re.search(r"WindowGroupLimit [^\n]*Partial\n.*Scan parquet", plan.split("rangepartitioning")[-1], re.S)
+    assert found.count() == expected.count() and found.exceptAll(expected).isEmpty()
+    spans = sorted((a, b) for _, a, b in spans if a is not None and a != b)
+    assert len(spans) > 3 and all(b <= c for (_, b), (c, _) in zip(spans, spans[1:], strict=False))
+
+
 def test_segments_of_a_hot_store(bills):
     one = bills.withColumn("storeId", F.lit("S0"))
     segments = rfm_segments(one, A)

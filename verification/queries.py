@@ -167,11 +167,16 @@ def _silver_items_drifted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _silver_items_environments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The item load in two environments, each in its own folder."""
-    found = None
+    """The item load in two environments, each in its own folder.
+
+    The lines are made for the first; the second gets a copy of its files' rows.
+    """
+    found, lines = None, fixtures.items(spark, sf_dir)
     for env in ("dev", "prod"):
         base = new_folder(spark, f"items-{env}")
-        fixtures.items(spark, sf_dir).write.parquet(f"{base}/bronze/items-bronze/data/first")
+        raw = f"{base}/bronze/items-bronze/data/first"
+        lines.write.parquet(raw)
+        lines = spark.read.schema(lines.schema).parquet(raw)
         etl.load_silver_items(spark, base, fixtures.RUN_TIME)
         rows = silver_items_table(spark, base).drop(MONTH_FOLDER).withColumn("env", F.lit(env))
         found = rows if found is None else found.union(rows)
